@@ -1,0 +1,4 @@
+"""No stream operators are in scope: every source of this engine is read whole.
+
+The row-wise expressions in ``lexiloom.functions`` are plain Columns, so they also run on ``readStream`` frames.
+"""
