@@ -401,14 +401,14 @@ def svd_embed(spark: SparkSession, sf: str) -> DataFrame:
 def svd_embed_us(spark: SparkSession, sf: str) -> DataFrame:
     """Counts at window 5, fifty dimensions, U * S."""
     _, cooc, n = C.build_matrices(I.tokens(spark, sf), (5,), I.MIN_FREQ)
-    return R.svd_embed(cooc, n, 50, power=1.0, iterations=10)
+    return R.svd_embed(cooc, n, 50, power=1.0)
 
 
 @query
 def sweep(spark: SparkSession, sf: str) -> DataFrame:
     """Two windows, three weightings, two dimensions; one decomposition per window and weighting."""
     vocab, cooc, n = C.build_matrices(I.tokens(spark, sf), (2, 10), I.MIN_FREQ)
-    return R.sweep(cooc, vocab, n, (2, 10), dims=(10, 20), iterations=1)
+    return R.sweep(cooc, vocab, n, (2, 10), dims=(10, 20))
 
 
 @query
