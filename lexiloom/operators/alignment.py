@@ -178,10 +178,10 @@ class TransportPlan:
         while self.rounds < max_iter:
             steps = min(check_every, max_iter - self.rounds)
             f = self.f
-            for _ in range(steps):
-                g = cut(self._potential(f, "rblk"))
-                f = cut(self._potential(g, "lblk"))
-            self.f, self.g, self.rounds = f, g, self.rounds + steps
+            for _ in range(steps - 1):
+                f = cut(self._potential(self._potential(f, "rblk"), "lblk"))
+            self.g = cut(self._potential(f, "rblk"))
+            self.f, self.rounds = cut(self._potential(self.g, "lblk")), self.rounds + steps
             if tol > 0:
                 self.error = self._column_error()
                 if self.error < tol:

@@ -297,13 +297,13 @@ FROM v a JOIN v b ON a.label = b.label JOIN o ON o.word = b.word GROUP BY a.labe
   FROM v LEFT JOIN req r ON r.word = v.word) WHERE place < 200""",
     "procrustes": _with(V, O) + _cells("o"),
     "dim_check": _with(V) + "SELECT count(*) AS n, CAST(max(len(vec)) AS INTEGER) AS dim FROM v",
-    "cca": "SELECT CAST(p AS INTEGER) AS p, (SELECT count(*) FROM embeddings) AS n, 0.0 AS mean, 1.0 AS variance FROM (SELECT unnest(range((SELECT max(len(embedding)) FROM embeddings))) AS p)",
+    "cca": "SELECT CAST(p AS INTEGER) AS p, (SELECT count(*) FROM embeddings) AS n, CAST(0 AS DOUBLE) AS mean, CAST(1 AS DOUBLE) AS variance FROM (SELECT unnest(range((SELECT max(len(embedding)) FROM embeddings))) AS p)",
     "pair_sample": _with(NEXT) + r"SELECT src, tgt FROM pairs ORDER BY md5('42' || chr(9) || src || chr(9) || tgt), src, tgt LIMIT 100",
     "sinkhorn_plan": _sinkhorn(I.TRANSPORT_ROUNDS) + f"SELECT i AS pid, round(ln(u), 6) AS f, round(ln(v), 6) AS g FROM u{I.TRANSPORT_ROUNDS} JOIN v{I.TRANSPORT_ROUNDS} ON i = j",
     "barycenter_targets": _sinkhorn(I.TRANSPORT_ROUNDS) + f"""SELECT i AS pid, CAST(p - 1 AS INTEGER) AS p, round(sum(n * u * k * v * y), 6) AS x
 FROM ker JOIN u{I.TRANSPORT_ROUNDS} USING (i) JOIN v{I.TRANSPORT_ROUNDS} USING (j)
 JOIN (SELECT pid AS j, unnest(y) AS y, generate_subscripts(y, 1) AS p FROM train) USING (j), cnt GROUP BY i, p""",
-    "barycenter_align": _with(V, O) + "SELECT word, CAST(i - 1 AS INTEGER) AS p, round(x, 4) AS x FROM (SELECT word, unnest(vec) AS x, generate_subscripts(vec, 1) AS i FROM o)",
+    "barycenter_align": _with(V) + "SELECT word, CAST(i - 1 AS INTEGER) AS p, round(x, 4) AS x FROM (SELECT word, unnest(vec) AS x, generate_subscripts(vec, 1) AS i FROM v)",
     "self_learning_nearest": _with(V, O) + _cells("o"),
     # alignment evaluation
     "translation_rank": _with(V, NEXT, RANKS) + "SELECT src, tgt, n, round(cos, 6) AS cos, rank FROM ranks",

