@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.functions.vectors import l2_normalize
-from lexiloom.operators.common import blocks, add_blocks, lookup, meet, ordinal, outer_sum, table_bytes, vector_shape
+from lexiloom.operators.common import (
+    PACKED, add_blocks, blocks, lookup, meet, ordinal, outer_sum, table_bytes, vector_shape,
+)
 from lexiloom.operators.similarity import topk_neighbours, vector_bytes, with_vectors
 from lexiloom.session import cut
 
@@ -215,15 +217,15 @@ class TransportPlan:
                 for blk, x, y, raw, f, g in zip(*(batch[c] for c in ("lblk", "x", "y", "raw", "f", "g"))):
                     m = (np.reshape(x, (-1, d)) @ np.reshape(y, (-1, d)).T) / reg
                     plan = np.exp(m + np.asarray(f)[:, None] + np.asarray(g)[None, :])
-                    yield pd.DataFrame({"lblk": [blk], "v": [(n * plan @ np.reshape(raw, (-1, d))).ravel()]})
+                    yield pd.DataFrame({"blk": [blk], "v": [(n * plan @ np.reshape(raw, (-1, d))).tobytes()]})
 
         cols = joined.select("lblk", "x", "y", "raw", "f", "g")
-        summed = add_blocks(cols.mapInPandas(weigh, "lblk int, v array<double>"), "lblk", "v", self.n_left)
+        summed = add_blocks(cols.mapInPandas(weigh, PACKED), self.n_left).withColumnRenamed("blk", "lblk")
 
         def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 for ids, v in zip(batch["pid"], batch["v"]):
-                    yield pd.DataFrame({"pid": ids, "ybar": list(np.reshape(v, (-1, d)))})
+                    yield pd.DataFrame({"pid": ids, "ybar": list(np.frombuffer(v).reshape(-1, d))})
 
         named = self.left.select("lblk", "pid").join(summed, "lblk").select("pid", "v")
         return named.mapInPandas(unpack, f"pid {pid}, ybar array<double>")

@@ -16,6 +16,7 @@ from lexiloom.session import cut
 BROADCAST_BYTES = 256 << 20
 SALTS = 16
 BLOCK_ROWS = 4096
+PACKED = "blk int, v binary"  # a block of doubles, row by row
 
 
 def table_bytes(df: DataFrame, *text_cols: str, overhead: int = 64) -> int:
@@ -123,24 +124,22 @@ def outer_sum(rows: DataFrame, x: str, y: str) -> np.ndarray:
     return np.stack(got.sort_values("i")["v"])
 
 
-def add_blocks(parts: DataFrame, blk: str, vec: str, n: int) -> DataFrame:
-    """Element-wise sum of flat arrays per block number, streamed block by block within each task."""
-    schema = f"{blk} int, {vec} array<double>"
-
+def add_blocks(parts: DataFrame, n: int) -> DataFrame:
+    """Element-wise sum of packed doubles (blk, v) per block number, streamed block by block within each task."""
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, total = None, None
         for batch in batches:
-            for b, v in zip(batch[blk], batch[vec]):
+            for b, v in zip(batch["blk"], batch["v"]):
                 if b == current:
-                    total = total + v
+                    total = total + np.frombuffer(v)
                     continue
                 if current is not None:
-                    yield pd.DataFrame({blk: [current], vec: [total]})
-                current, total = b, np.asarray(v)
+                    yield pd.DataFrame({"blk": [current], "v": [total.tobytes()]})
+                current, total = b, np.frombuffer(v)
         if current is not None:
-            yield pd.DataFrame({blk: [current], vec: [total]})
+            yield pd.DataFrame({"blk": [current], "v": [total.tobytes()]})
 
-    return parts.repartition(n, blk).sortWithinPartitions(blk).mapInPandas(add, schema)
+    return parts.repartition(n, "blk").sortWithinPartitions("blk").mapInPandas(add, PACKED)
 
 
 def meet(left: DataFrame, right: DataFrame, n_right: int, right_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
