@@ -21,12 +21,11 @@ def norm(v: Column) -> Column:
 
 
 def l2_normalize(v: Column) -> Column:
-    """Unit vector; a zero vector stays zero."""
-    return unit_given(v, norm(v))
+    """Unit vector; a zero vector stays zero. The length is bound once, outside the element loop."""
+    def scaled(n: Column) -> Column:
+        return F.transform(v, lambda x: F.when(n > 0, x / n).otherwise(F.lit(0.0)))
 
-
-def unit_given(v: Column, n: Column) -> Column:
-    return F.transform(v, lambda x: F.when(n > 0, x / n).otherwise(F.lit(0.0)))
+    return F.transform(F.array(norm(v)), scaled)[0]
 
 
 def cosine(a: Column, b: Column, eps: float = EPS) -> Column:

@@ -17,7 +17,7 @@ from lexiloom.operators import similarity as S
 from lexiloom.operators import weighting as W
 from lexiloom.operators.common import vector_shape
 from lexiloom.plans import inputs as I
-from lexiloom.session import cut, scratch_path
+from lexiloom.session import cut, scratch_path, spread
 from lexiloom.sources import readers, writers
 
 QUERIES = {}
@@ -213,7 +213,7 @@ def preserved_phrases(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct number+unit and mixed-script phrases; the accented letters stand in for the second script."""
     s = F.col("sentence")
     found = F.concat(T.unit_phrases(s, I.UNITS), T.mixed_phrases(s, I.ACCENTED, I.UNITS))
-    return I.lines(spark, sf).select(F.explode(found).alias("phrase")).distinct()
+    return I.lines(spark, sf).select(F.explode_outer(found).alias("phrase")).filter("phrase is not null").distinct()
 
 
 @query
@@ -241,8 +241,9 @@ def script_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def triples_from_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    words = I.table(spark, sf, "documents").select("doc_id", F.posexplode(T.tokenize(F.col("text"))).alias("pos", "token"))
-    return M.triples_from_tokens(words, ["doc_id"])
+    docs = spread(I.table(spark, sf, "documents").select("doc_id", "text"))
+    words = C.token_rows(docs.select("doc_id", T.tokenize(F.col("text")).alias("toks")), keep=["doc_id"])
+    return M.triples_from_tokens(words.withColumnRenamed("word", "token"), ["doc_id"])
 
 
 @query
