@@ -139,7 +139,8 @@ def add_blocks(parts: DataFrame, n: int) -> DataFrame:
         if current is not None:
             yield pd.DataFrame({"blk": [current], "v": [total.tobytes()]})
 
-    return parts.repartition(n, "blk").sortWithinPartitions("blk").mapInPandas(add, PACKED)
+    tasks = min(n, 4 * parts.sparkSession.sparkContext.defaultParallelism)
+    return parts.repartition(tasks, "blk").sortWithinPartitions("blk").mapInPandas(add, PACKED)
 
 
 def meet(left: DataFrame, right: DataFrame, n_right: int, right_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
