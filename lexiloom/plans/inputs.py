@@ -27,14 +27,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def toks() -> Column:
+    """Token array of column ``sentence``: cleaned, split, filtered."""
+    return T.filter_tokens(T.tokenize(T.clean_basic(F.col("sentence"))), STOP)
+
+
 def lines(spark: SparkSession, sf: str) -> DataFrame:
-    return C.lines(table(spark, sf, "documents").select("doc_id", "text"))
+    return C.lines(spread(table(spark, sf, "documents").select("doc_id", "text")))
 
 
 def tokens(spark: SparkSession, sf: str) -> DataFrame:
     """(doc_id, line, toks) of every line of every document."""
-    clean = T.clean_basic(F.col("sentence"))
-    return lines(spark, sf).select("doc_id", "line", T.filter_tokens(T.tokenize(clean), STOP).alias("toks"))
+    return lines(spark, sf).select("doc_id", "line", toks().alias("toks"))
 
 
 def vectors(spark: SparkSession, sf: str) -> DataFrame:

@@ -73,8 +73,12 @@ def _cos(a: str, b: str) -> str:
     return f"list_cosine_similarity({a}, {b})"
 
 
-SCORED = f"""scored AS (SELECT g.pid, g.score, {_cos('a.vec', 'b.vec')} AS cos
-  FROM gold g JOIN v a ON a.word = g.src JOIN v b ON b.word = g.tgt)"""
+def _scored(source: str, target: str) -> str:
+    return f"""scored AS (SELECT g.pid, g.score, {_cos('a.vec', 'b.vec')} AS cos
+  FROM gold g JOIN {source} a ON a.word = g.src JOIN {target} b ON b.word = g.tgt)"""
+
+
+SCORED = _scored("v", "v")
 RANKED = """ranked AS (SELECT *,
   rank() OVER (ORDER BY cos) + (count(*) OVER (PARTITION BY cos) - 1) / 2.0 AS rx,
   rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS ry FROM scored)"""
@@ -96,10 +100,14 @@ sil AS (
     (min(CASE WHEN own <> other THEN d / n END) - max(CASE WHEN own = other THEN d / (n - 1) END))
     / greatest(min(CASE WHEN own <> other THEN d / n END), max(CASE WHEN own = other THEN d / (n - 1) END)) ELSE 0 END AS s
   FROM dist JOIN sizes ON label = other GROUP BY word, own)"""
-RANKS = f"""ranks AS (
+def _ranks(source: str, target: str) -> str:
+    return f"""ranks AS (
   SELECT p.src, p.tgt, CAST(1 AS BIGINT) AS n, {_cos('a.vec', 'b.vec')} AS cos,
-    1 + (SELECT count(*) FROM v c WHERE {_cos('a.vec', 'c.vec')} > {_cos('a.vec', 'b.vec')} + 1e-12) AS rank
-  FROM pairs p JOIN v a ON a.word = p.src JOIN v b ON b.word = p.tgt)"""
+    1 + (SELECT count(*) FROM {target} c WHERE {_cos('a.vec', 'c.vec')} > {_cos('a.vec', 'b.vec')} + 1e-12) AS rank
+  FROM pairs p JOIN {source} a ON a.word = p.src JOIN {target} b ON b.word = p.tgt)"""
+
+
+RANKS = _ranks("v", "v")
 
 
 def _hubs(source: str, target: str, k: int) -> str:
@@ -112,6 +120,16 @@ hub AS (SELECT max(hits) AS max_hub_size, avg(hits) AS mean_hub_size, stddev_pop
   avg(power((hits - m) / s, 3)) AS skewness FROM hubs, (SELECT avg(hits) AS m, stddev_pop(hits) AS s FROM hubs))"""
 
 
+def _evaluate(method: str, source: str, target: str) -> str:
+    parts = _with(V, O, NEXT, GOLD, _ranks(source, target), _scored(source, target), RANKED, _hubs(source, target, 10))
+    return parts + f"""SELECT '{method}' AS method, round(avg(CASE WHEN rank <= 1 THEN 1.0 ELSE 0 END), 6) AS p_at_1,
+  round(avg(CASE WHEN rank <= 5 THEN 1.0 ELSE 0 END), 6) AS p_at_5, round(avg(CASE WHEN rank <= 10 THEN 1.0 ELSE 0 END), 6) AS p_at_10,
+  round(avg(1.0 / rank), 6) AS mrr, (SELECT round(corr(rx, ry), 6) FROM ranked) AS spearman_correlation,
+  (SELECT round(avg(abs(cos - score)), 6) FROM ranked) AS mean_absolute_error, (SELECT max_hub_size FROM hub) AS max_hub_size,
+  (SELECT round(mean_hub_size, 6) FROM hub) AS mean_hub_size, (SELECT round(std_hub_size, 6) FROM hub) AS std_hub_size,
+  (SELECT round(skewness, 6) FROM hub) AS skewness FROM ranks"""
+
+
 SETS = f"""sets AS (SELECT ([{_list(I.SETS)}])[1 + doc_id % 4] AS set_name, doc_id AS word FROM labels),
 found AS (SELECT s.set_name, s.word, v.vec FROM sets s LEFT JOIN v ON v.word = s.word)"""
 ASSOC = f"""assoc AS (
@@ -282,6 +300,8 @@ FROM pairs JOIN v a ON a.word = src JOIN v b ON b.word = tgt""",
   CAST(row_number() OVER (PARTITION BY a.word ORDER BY round({_cos('a.vec', 'b.vec')}, 12) DESC, b.word) AS INTEGER) AS rank FROM v a, o b) WHERE rank <= 5""",
     "silhouette": _with(V, SIL) + "SELECT word, cluster, round(s, 6) AS silhouette FROM sil",
     "silhouette_mean": _with(V, SIL) + "SELECT round(avg(s), 6) AS silhouette FROM sil",
+    "silhouette_squared": _with(V, SIL.replace("list_distance(a.vec, b.vec)", "power(list_distance(a.vec, b.vec), 2)"))
+    + "SELECT count(*) AS n, round(avg(s), 6) AS silhouette FROM sil",
     "gold_spearman": _with(V, GOLD, SCORED, RANKED) + """SELECT round(corr(rx, ry), 6) AS corr, count(*) AS covered, (SELECT count(*) FROM gold) AS pairs,
   round(count(*) / (SELECT count(*) FROM gold), 6) AS coverage FROM ranked""",
     "gold_pearson": _with(V, GOLD, SCORED) + """SELECT round(corr(cos, score), 6) AS corr, count(*) AS covered, (SELECT count(*) FROM gold) AS pairs,
@@ -314,6 +334,7 @@ JOIN (SELECT pid AS j, unnest(y) AS y, generate_subscripts(y, 1) AS p FROM train
   round(avg(1.0 / rank), 4) AS mrr FROM ranks""",
     "semantic_similarity": _with(V, GOLD, SCORED, RANKED) + "SELECT round(corr(rx, ry), 6) AS spearman_correlation, round(avg(abs(cos - score)), 6) AS mean_absolute_error FROM ranked",
     "hubness": _with(V, O, _hubs("v", "o", 10)) + "SELECT max_hub_size, round(mean_hub_size, 6) AS mean_hub_size, round(std_hub_size, 6) AS std_hub_size, round(skewness, 6) AS skewness FROM hub",
+    "evaluate_all": f"SELECT * FROM ({_evaluate('none', 'v', 'o')}) UNION ALL SELECT * FROM ({_evaluate('procrustes', 'o', 'o')})",
     "sample_pairs": _with(NEXT) + r"""SELECT src, tgt, src || '/' || tgt AS label FROM (
   SELECT src, tgt FROM pairs ORDER BY md5('42' || chr(9) || src || chr(9) || tgt), src, tgt LIMIT 200)
 WHERE src IN (SELECT vec_id FROM embeddings) AND tgt IN (SELECT vec_id FROM embeddings)""",

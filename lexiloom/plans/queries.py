@@ -200,7 +200,8 @@ def clean_basic(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def clean_minimal(spark: SparkSession, sf: str) -> DataFrame:
-    return I.table(spark, sf, "documents").select("doc_id", T.clean_minimal(F.col("text")).alias("clean"))
+    docs = spread(I.table(spark, sf, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", T.clean_minimal(F.col("text")).alias("clean"))
 
 
 @query
@@ -309,13 +310,14 @@ def build_vocab_unfiltered(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def encode(spark: SparkSession, sf: str) -> DataFrame:
-    toks = I.tokens(spark, sf)
-    return C.compact_positions(C.encode(toks, cut(C.build_vocab(toks, I.MIN_FREQ))))
+    vocab = cut(C.build_vocab(I.tokens(spark, sf), I.MIN_FREQ))
+    placed = C.by_sentence(I.lines(spark, sf)).select(*C.SENTENCE, I.toks().alias("toks"))
+    return C.compact_positions(C.encode(placed, vocab))
 
 
 def _cooc(spark: SparkSession, sf: str, windows=I.WINDOWS, distance: bool = False) -> DataFrame:
-    toks = I.tokens(spark, sf)
-    return C.cooccurrence(C.encode(toks, cut(C.build_vocab(toks, I.MIN_FREQ))), windows, distance)
+    _, cooc, _ = C.build_matrices(I.lines(spark, sf), I.toks(), windows, I.MIN_FREQ, distance)
+    return cooc
 
 
 @query
@@ -330,7 +332,7 @@ def cooc_distance(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def cooc_rownorm(spark: SparkSession, sf: str) -> DataFrame:
-    _, cooc, n = C.build_matrices(I.tokens(spark, sf), (2,), I.MIN_FREQ, True)
+    _, cooc, n = C.build_matrices(I.lines(spark, sf), I.toks(), (2,), I.MIN_FREQ, True)
     return W.row_normalize(cooc, n).select("window", "row", "col", r6("w"))
 
 
@@ -343,7 +345,7 @@ def cooc_multi_window(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def matrix_info(spark: SparkSession, sf: str) -> DataFrame:
-    _, cooc, n = C.build_matrices(I.tokens(spark, sf), I.WINDOWS, I.MIN_FREQ)
+    _, cooc, n = C.build_matrices(I.lines(spark, sf), I.toks(), I.WINDOWS, I.MIN_FREQ)
     info = C.matrix_info(cooc, n, I.MIN_FREQ, False, False)
     return info.select(
         "window_size", F.col("shape")[0].alias("n_rows"), F.col("shape")[1].alias("n_cols"), "nonzero", "normalized",
@@ -355,7 +357,7 @@ def matrix_info(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _weighted(spark: SparkSession, sf: str, method: str) -> DataFrame:
-    _, cooc, n = C.build_matrices(I.tokens(spark, sf), (2,), I.MIN_FREQ)
+    _, cooc, n = C.build_matrices(I.lines(spark, sf), I.toks(), (2,), I.MIN_FREQ)
     return W.weight(cooc, method, n).select("window", "row", "col", r6("w"))
 
 
@@ -376,14 +378,14 @@ def row_normalize(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def row_normalize_l2(spark: SparkSession, sf: str) -> DataFrame:
-    _, cooc, n = C.build_matrices(I.tokens(spark, sf), (2,), I.MIN_FREQ)
+    _, cooc, n = C.build_matrices(I.lines(spark, sf), I.toks(), (2,), I.MIN_FREQ)
     return W.row_normalize(cooc, n, "l2").select("window", "row", "col", r6("w"))
 
 
 @query
 def top_ppmi_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Corpus to the twenty strongest word pairs: distance-weighted window 2, PPMI."""
-    vocab, cooc, n = C.build_matrices(I.tokens(spark, sf), (2,), I.MIN_FREQ, True)
+    vocab, cooc, n = C.build_matrices(I.lines(spark, sf), I.toks(), (2,), I.MIN_FREQ, True)
     scored = W.ppmi(cooc, n).filter("row < col").select("row", "col", F.round("w", 6).alias("ppmi"))
     best = scored.orderBy(F.desc("ppmi"), "row", "col").limit(20)
     a = vocab.select(F.col("idx").cast("int").alias("row"), F.col("word").alias("word_a"))
@@ -394,21 +396,21 @@ def top_ppmi_pairs(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def svd_embed(spark: SparkSession, sf: str) -> DataFrame:
     """Weighted by PPMI at window 2, fifty dimensions, U * sqrt(S)."""
-    _, cooc, n = C.build_matrices(I.tokens(spark, sf), (2,), I.MIN_FREQ)
+    _, cooc, n = C.build_matrices(I.lines(spark, sf), I.toks(), (2,), I.MIN_FREQ)
     return R.svd_embed(W.ppmi(cooc, n), n, 50)
 
 
 @query
 def svd_embed_us(spark: SparkSession, sf: str) -> DataFrame:
     """Counts at window 5, fifty dimensions, U * S."""
-    _, cooc, n = C.build_matrices(I.tokens(spark, sf), (5,), I.MIN_FREQ)
+    _, cooc, n = C.build_matrices(I.lines(spark, sf), I.toks(), (5,), I.MIN_FREQ)
     return R.svd_embed(cooc, n, 50, power=1.0)
 
 
 @query
 def sweep(spark: SparkSession, sf: str) -> DataFrame:
     """Two windows, three weightings, two dimensions; one decomposition per window and weighting."""
-    vocab, cooc, n = C.build_matrices(I.tokens(spark, sf), (2, 10), I.MIN_FREQ)
+    vocab, cooc, n = C.build_matrices(I.lines(spark, sf), I.toks(), (2, 10), I.MIN_FREQ)
     return R.sweep(cooc, vocab, n, (2, 10), dims=(10, 20))
 
 
@@ -473,6 +475,13 @@ def silhouette_mean(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(S.silhouette(I.clusters(spark, sf)))
 
 
+@query
+def silhouette_squared(spark: SparkSession, sf: str) -> DataFrame:
+    """The linear-time form on squared distances."""
+    points = I.clusters(spark, sf)
+    return points.agg(F.count(F.lit(1)).alias("n"), F.round(F.lit(S.silhouette_squared(points)), 6).alias("silhouette"))
+
+
 @query
 def gold_spearman(spark: SparkSession, sf: str) -> DataFrame:
     v = I.vectors(spark, sf)

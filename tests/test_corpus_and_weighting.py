@@ -70,11 +70,11 @@ def test_stats_of_an_empty_corpus(spark):
 
 def test_no_pairs_is_an_error(spark):
     with pytest.raises(ValueError):
-        C.build_matrices(corpus(spark, ["a", "b"]), (2,), 1)
+        C.build_matrices(corpus(spark, ["a", "b"]), F.col("toks"), (2,), 1)
 
 
 def test_weighting_properties(spark):
-    _, cooc, n = C.build_matrices(corpus(spark, SENTENCES), (2,), 1)
+    _, cooc, n = C.build_matrices(corpus(spark, SENTENCES), F.col("toks"), (2,), 1)
     cells = {(r["row"], r["col"]): r["w"] for r in cooc.collect()}
     assert all(cells[b, a] == w for (a, b), w in cells.items())
     ppmi = W.ppmi(cooc, n)
