@@ -6,7 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from lexiloom.operators import corpus as C
 from lexiloom.operators import metrics as M
+from lexiloom.plans import inputs as I
+from lexiloom.session import cut
 
 SF = "/root/testdata/sf0.001"
 
@@ -71,6 +74,19 @@ def test_library_has_no_local_checkpoint_or_cross_join():
             assert not re.search(r"localCheckpoint\(|crossJoin\(", path.read_text(encoding="utf-8")), path
 
 
-def test_cleaning_runs_once_and_after_one_shuffle_of_the_lines(spark):
-    plan = entry.queries()["word_count"](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("lower(sentence") == 1 and "doc_id" in plan and "source" not in plan
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_word_count_cleans_once_and_reads_only_the_text(spark):
+    plan = _plan(entry.queries()["word_count"](spark, SF))
+    assert plan.count("lower(sentence") == 1 and "ReadSchema: struct<text:string>" in plan
+
+
+def test_counting_shuffles_raw_lines_once_and_pairs_once(spark):
+    lines = I.lines(spark, SF)
+    vocab = cut(C.build_vocab(I.tokens(spark, SF), 5))
+    placed = C.by_sentence(lines).select(*C.SENTENCE, I.toks().alias("toks"))
+    plan = _plan(C.cooccurrence(C.encode(placed, vocab)))
+    assert plan.count("hashpartitioning(doc_id") == 1 and plan.count("lower(sentence") == 1
+    assert plan.count("ENSURE_REQUIREMENTS") == 1 and "BroadcastHashJoin" in plan
