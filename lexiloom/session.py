@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
+_WRITTEN: set[str] = set()  # scratch paths of this process that still exist
+
 
 def _conf(spark: SparkSession, key: str) -> str | None:
     return spark.sparkContext.getConf().get(key) or spark.conf.get(key, None)
@@ -26,8 +30,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    """A fresh path below the shared folder, removed at the end of the process if not before."""
+    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    _WRITTEN.add(path)
+    return path
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -36,7 +42,32 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "cut")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.scratch = path
+    return back
+
+
+def _delete(path: str) -> None:
+    jvm, conf = SparkContext._active_spark_context._jvm, SparkContext._active_spark_context._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(conf).delete(place, True)
+    _WRITTEN.discard(path)
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables made by ``cut`` that no later plan reads, such as the earlier round of a loop. Others are left alone."""
+    for df in tables:
+        path = getattr(df, "scratch", None)
+        if path in _WRITTEN:
+            _delete(path)
+
+
+@atexit.register
+def discard_all() -> None:
+    """Delete every scratch path of this process that is left; nothing to do once the session has been stopped."""
+    if SparkContext._active_spark_context is not None:
+        for path in list(_WRITTEN):
+            _delete(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
