@@ -57,7 +57,7 @@ def _delete(path: str) -> None:
 def discard(*tables: DataFrame | None) -> None:
     """Delete tables made by ``cut`` that no later plan reads, such as the earlier round of a loop. Others are left alone."""
     for df in tables:
-        path = getattr(df, "scratch", None)
+        path = None if df is None else vars(df).get("scratch")
         if path in _WRITTEN:
             _delete(path)
 
