@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import langid, linededup, mixing, packing, pii, sharding, simhash
+from lexiloom.llm import htmltext, langid, linededup, mixing, packing, permindex, pii, sharding, simhash
 from lexiloom.session import cut
 
 
@@ -65,6 +65,17 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(read(spark, sf_dir, "documents"))
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return htmltext.extract(read(spark, sf_dir, "pages"))
+
+
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth embedding by inner product."""
+    vectors = read(spark, sf_dir, "embeddings")
+    return permindex.search(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
@@ -74,7 +85,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing, "op2_language": op2_language, "op3_pii": op3_pii,
     "op5_sharding": op5_sharding, "op6_line_dedup": op6_line_dedup, "op7_mixing": op7_mixing,
-    "op10_simhash": op10_simhash,
+    "op8_html": op8_html, "op9_neighbours": op9_neighbours, "op10_simhash": op10_simhash,
 }
 
 ORACLES = {
