@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import htmltext, langid, linededup, mixing, packing, permindex, pii, sharding, simhash
+from lexiloom.llm import htmltext, langid, linededup, mixing, nndescent, packing, permindex, pii, sharding, simhash
 from lexiloom.session import cut
 
 
@@ -49,6 +49,11 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.9."""
+    return nndescent.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of near equal bytes."""
     dealt = sharding.shard(read(spark, sf_dir, "documents"))
@@ -84,11 +89,23 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing, "op2_language": op2_language, "op3_pii": op3_pii,
-    "op5_sharding": op5_sharding, "op6_line_dedup": op6_line_dedup, "op7_mixing": op7_mixing,
+    "op4_embedding_dedup": op4_embedding_dedup, "op5_sharding": op5_sharding, "op6_line_dedup": op6_line_dedup, "op7_mixing": op7_mixing,
     "op8_html": op8_html, "op9_neighbours": op9_neighbours, "op10_simhash": op10_simhash,
 }
 
 ORACLES = {
+    "op4_embedding_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), near AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+), reach(x, y) AS (
+  SELECT vec_id, vec_id FROM v UNION SELECT reach.x, near.y FROM reach JOIN near ON near.x = reach.y
+), part AS (SELECT x AS vec_id, min(y) AS component_id FROM reach GROUP BY x),
+links AS (SELECT x AS vec_id, count(*) AS n FROM near GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM part LEFT JOIN links USING (vec_id)
+""",
     "op6_line_dedup": """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
