@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator, Sequence
 from math import ceil
+from typing import TypeVar
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -15,6 +17,33 @@ BUCKET_ROWS = 20_000  # rows that one task numbers at a time
 BROADCAST_BYTES = 64 << 20
 
 
+BATCH_CONF, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
+
+
+def small_batches() -> None:
+    """Bound the batches in which texts go to Python workers by 8 MB, unless the session has a bound of its own: several
+    workers share an executor's memory, and documents may be very long."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.conf.get(BATCH_CONF) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_CONF, BATCH_BYTES)
+
+
+T = TypeVar("T")
+
+
+def tidy(batches: Iterator[T]) -> Iterator[T]:
+    """The batches; what is freed after each goes back to the system. Python workers live on between tasks and share their
+    executor's memory with its JVM, so what their allocators hold back counts."""
+    import pyarrow
+
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", lambda _: None)
+    for batch in batches:
+        yield batch
+        del batch
+        pyarrow.default_memory_pool().release_unused()
+        trim(0)
+
+
 def size_checked(df: DataFrame, rows: int, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast of ``df`` when its counted ``rows`` of at most ``row_bytes`` fit ``limit``; else leave it to the planner."""
     return F.broadcast(df) if rows * row_bytes <= limit else df

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexiloom.llm.common import small_batches, tidy
+
 #: Elements by their part in a page.
 RAW = frozenset("script style noscript template title textarea iframe object svg math canvas audio video select head".split())
 MAIN = frozenset("article main".split())
@@ -245,11 +247,12 @@ def main_text(html: str | None, node=None) -> str:
 
 def extractor():
     """Column function: html -> main text."""
+    small_batches()
     node = tree()
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
+        for batch in tidy(batches):
             yield pd.Series([main_text(h, node) for h in batch], dtype=object)
 
     return run

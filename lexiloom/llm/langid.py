@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.common import slices
+from lexiloom.llm.common import slices, small_batches, tidy
 
 BUCKETS = 1 << 15
 TRAIN_DOCS = 20_000  # about as many labelled texts, spread evenly over the table, fit the tables
@@ -163,6 +163,7 @@ def fit(docs: DataFrame, max_docs: int = TRAIN_DOCS) -> Model:
     About ``max_docs`` texts are used, chosen by a hash of the text. Each task counts its own trigrams; what reaches the
     driver is at most one number per language and bucket, so it does not grow with the corpus.
     """
+    small_batches()
     known = docs.select("text", F.col("lang").cast("string").alias("lang")).where("text is not null and lang is not null")
     total = known.select(F.lit(1)).count()
     if total > max_docs:
@@ -170,10 +171,10 @@ def fit(docs: DataFrame, max_docs: int = TRAIN_DOCS) -> Model:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in tidy(batches):
             for lang, part in batch.groupby("lang"):
                 texts = list(part["text"])
-                for lo, hi in slices(texts, 1_000_000):
+                for lo, hi in slices(texts, 250_000):
                     words = words_of(texts[lo:hi])
                     letters = np.bincount(words.script, weights=np.diff(words.gram_word), minlength=256)[: len(NAMES)]
                     got = np.concatenate([np.bincount(words.grams, minlength=BUCKETS), letters]).astype(np.int64)
@@ -199,7 +200,7 @@ def label(texts: list[str | None], model: Model, switch: float = SWITCH) -> list
     if not model.langs:
         return [("und", 0.0, []) for _ in texts]
     parts, scored = [], []
-    for lo, hi in slices(texts, 1_000_000):
+    for lo, hi in slices(texts, 250_000):
         words = words_of(texts[lo:hi])
         scored.append(model.scores(words))
         parts.append((words.text + lo, words.start, words.end, model.known(words)))
@@ -227,9 +228,10 @@ def predictor(model: Model, switch: float = SWITCH) -> Callable:
     Score is the share of letters in words labelled with the predicted language; equal shares take the first language by
     name; words in a script that no learned language uses belong to none. Whole texts are read, in batches bounded by characters.
     """
+    small_batches()
     @F.pandas_udf("lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in tidy(batches):
             texts, rows = list(batch), []
             for lo, hi in slices(texts, 8_000_000):
                 rows += label(texts[lo:hi], model, switch)

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.common import size_checked
+from lexiloom.llm.common import size_checked, small_batches, tidy
 from lexiloom.session import cut
 
 WINDOW = 3
@@ -52,9 +52,10 @@ def later_windows(found: DataFrame) -> DataFrame:
 
 
 def _rebuild(width: int):
+    small_batches()
     @F.pandas_udf("n int, text string")
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, starts in batches:
+        for texts, starts in tidy(batches):
             counts, out = [], []
             for text, at in zip(texts, starts):
                 if text is None:

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.common import prefix_starts, size_checked, slices
+from lexiloom.llm.common import prefix_starts, size_checked, slices, small_batches, tidy
 from lexiloom.session import cut
 
 WIDTH = 1024
@@ -69,11 +69,12 @@ def pieces(docs: DataFrame, tokenizer: str, width: int = WIDTH, end_id: int = EN
     pieces of one length are numbered inside each input task. A null text counts as empty, so it is one piece holding only
     ``end_id``; a null doc_id stays null; repeated rows are pieces of their own.
     """
+    small_batches()
     schema = "doc_id long, piece int, start long, length long, ids binary, part int, nth long"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, seen = TaskContext.get().partitionId(), Counter()
-        for batch in batches:
+        for batch in tidy(batches):
             for lo, hi in slices(list(batch["text"]), 4_000_000):
                 out: list[tuple] = []
                 for doc, text in zip(batch["doc_id"].iloc[lo:hi], batch["text"].iloc[lo:hi]):

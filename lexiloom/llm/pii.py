@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexiloom.llm.common import small_batches, tidy
+
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
 
@@ -230,6 +232,7 @@ def scan(text: str | None) -> tuple[list[Span], list[Span]]:
 
 def scanner():
     """Column function: text -> struct(plain, spans), whole texts in Arrow batches."""
+    small_batches()
     spans = "array<struct<kind:string,start:int,end:int>>"
 
     def rows(found: list[Span]) -> list[dict]:
@@ -237,7 +240,7 @@ def scanner():
 
     @F.pandas_udf(f"plain {spans}, spans {spans}")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in tidy(batches):
             got = [scan(t) for t in batch]
             yield pd.DataFrame({"plain": [rows(p) for p, _ in got], "spans": [rows(e) for _, e in got]}, columns=["plain", "spans"])
 

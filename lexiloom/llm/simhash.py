@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.common import BROADCAST_BYTES, components, size_checked
+from lexiloom.llm.common import BROADCAST_BYTES, components, size_checked, small_batches, tidy
 from lexiloom.session import cut
 
 WORDS = 4
@@ -48,9 +48,10 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
 
 def fingerprints(words: int = WORDS):
     """Column function: text -> fingerprint as a long."""
+    small_batches()
     @F.pandas_udf("long")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
+        for batch in tidy(batches):
             yield pd.Series(np.array([fingerprint(t, words) for t in batch], np.uint64).view(np.int64))
 
     return run
@@ -83,7 +84,7 @@ def cell_rows(prints: DataFrame, bits: int = BITS) -> DataFrame:
     So two fingerprints in one cell, or in cells one step apart, meet in exactly one cell of a group.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in tidy(batches):
             fp = batch["fp"].to_numpy(np.int64)
             for lo in range(0, len(fp), 20_000):
                 part = fp[lo : lo + 20_000]
@@ -100,7 +101,7 @@ def crowded(prints: DataFrame, bits: int = BITS) -> DataFrame:
     rows are guests too. There are never more rows than the grid has cells, whatever the corpus.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in tidy(batches):
             fp = batch["fp"].to_numpy(np.int64)
             for lo in range(0, len(fp), 100_000):
                 for cell, _, visitor in _cells(fp[lo : lo + 100_000], bits):
@@ -181,7 +182,7 @@ def links(prints: DataFrame, bits: int = BITS) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
         rows = 0
-        for batch in batches:
+        for batch in tidy(batches):
             held.append(batch)
             rows += len(batch)
             if rows >= 100_000:
