@@ -21,7 +21,7 @@ def windows(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     Lines count without outer blanks. A window of blank lines only is none.
     """
     lines = docs.where("text is not null").select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), F.transform(F.split("text", "\n"), F.trim).alias("lines")
+        "doc_id", F.xxhash64("text").alias("text_hash"), F.transform(F.split("text", "\n"), lambda x: F.trim(x)).alias("lines")
     ).where(F.size("lines") >= width)
     hashed = lines.select(
         "doc_id", "text_hash",
