@@ -28,7 +28,7 @@ RUN = 64  # vectors that are compared in an order
 SETTLED = 0.002  # a round that adds a smaller share of links is the last
 AUDIT, RECALL, AUDITS = 1024, 0.99, 4
 SLACK = 1e-4  # single precision finds what double precision then decides
-BLOCK = 1024
+BLOCK, PARTS, MOST = 256, 64, 8192  # vectors in a block: BLOCK, more once that makes over PARTS blocks, MOST at most
 EDGE = "node long, nbr long, sim float"
 
 
@@ -173,23 +173,25 @@ def verified(nodes: DataFrame, edges: DataFrame, threshold: float) -> DataFrame:
 def block_counts(members: DataFrame, threshold: float) -> DataFrame:
     """(node, links): for members (node, part, size, m, vec) of a component ``part``, the weight m of the others that link.
 
-    A component is dealt to blocks of about BLOCK vectors by hash, and every two blocks meet in one task, which returns a sum
-    per vector.
+    A component is dealt to blocks by hash, and every two blocks meet in one task, which returns a sum per vector.
     """
-    parts = F.ceil(F.col("size") / BLOCK).cast("int")
+    parts = F.least(F.ceil(F.col("size") / BLOCK), F.greatest(F.lit(PARTS), F.ceil(F.col("size") / MOST))).cast("int")
     own = F.pmod(F.xxhash64("node"), parts).cast("int")
     met = members.withColumn("parts", parts).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     cells = met.select("part", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "m", "vec")
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         x, m, ids, own = np.stack(rows["vec"]), rows["m"].to_numpy(), rows["node"].to_numpy(), rows["own"].to_numpy()
-        if rows["i"].iloc[0] == rows["j"].iloc[0]:
-            near = x @ x.T >= threshold
-            np.fill_diagonal(near, False)
-            return pd.DataFrame({"node": ids, "links": near @ m})
-        left = own == rows["i"].iloc[0]
-        near = x[left] @ x[~left].T >= threshold
-        return pd.DataFrame({"node": np.concatenate([ids[left], ids[~left]]), "links": np.concatenate([near @ m[~left], near.T @ m[left]])})
+        left = np.flatnonzero(own == rows["i"].iloc[0])
+        right = np.flatnonzero(own == rows["j"].iloc[0])
+        links, same = np.zeros(len(ids), np.int64), rows["i"].iloc[0] == rows["j"].iloc[0]
+        for lo in range(0, len(left), 1024):
+            some = left[lo : lo + 1024]
+            near = (x[some] @ x[right].T >= threshold) & (ids[some][:, None] != ids[right][None, :])
+            links[some] += near @ m[right]
+            if not same:
+                links[right] += near.T @ m[some]
+        return pd.DataFrame({"node": ids, "links": links})
 
     return cells.groupBy("part", "i", "j").applyInPandas(run, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
 
