@@ -35,7 +35,7 @@ def required_words(pairs: DataFrame, gold: DataFrame) -> DataFrame:
     return pairs.select(F.col("tgt").alias("word")).union(gold.select("tgt")).distinct()
 
 
-def filter_vocab(vectors: DataFrame, required: DataFrame, max_words: int = 160_000) -> DataFrame:
+def filter_vocab(vectors: DataFrame, required: DataFrame, max_words: int) -> DataFrame:
     """Required words first, then file order, ``max_words`` in all; vectors are (word, vec, pos).
 
     A repeated required word takes its last vector, any other word its first.
@@ -104,7 +104,7 @@ def align_cca(pairs: DataFrame, src: DataFrame, tgt: DataFrame, n_components: in
     return apply_map(src, projection, mean), corr
 
 
-def pair_sample(pairs: DataFrame, n: int = 5000, seed: int = 42) -> DataFrame:
+def pair_sample(pairs: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """``n`` pairs without replacement, the same ones on every run: lowest digests of seed and words."""
     digest = F.md5(F.concat_ws("\t", F.lit(str(seed)), F.col("src").cast("string"), F.col("tgt").cast("string")))
     return pairs.withColumn("_h", digest).orderBy("_h", "src", "tgt").limit(n).drop("_h")
@@ -188,6 +188,8 @@ class TransportPlan:
                 self.error = self._column_error()
                 if self.error < tol:
                     return
+        if tol > 0:
+            raise ValueError(f"column sums are still off by {self.error:.3g} after {self.rounds} rounds")
 
     def _column_error(self) -> float:
         """Distance of the column sums from 1/n: the next column potential tells each sum."""
@@ -231,9 +233,9 @@ class TransportPlan:
         return named.mapInPandas(unpack, f"pid {pid}, ybar array<double>")
 
 
-def align_transport(pairs: DataFrame, src: DataFrame, tgt: DataFrame, reg: float = 0.05, sample_size: int | None = 5000,
+def align_transport(pairs: DataFrame, src: DataFrame, tgt: DataFrame, reg: float = 0.05, sample_size: int | None = None,
                     max_iter: int = 1000, tol: float = 1e-9, seed: int = 42) -> tuple[DataFrame, np.ndarray]:
-    """Transport sampled pairs, fit Procrustes to the transported targets, map every source vector."""
+    """Transport all pairs (or ``sample_size`` of them), fit Procrustes to the transported targets, map every source vector."""
     chosen = pairs if sample_size is None else pair_sample(pairs, sample_size, seed)
     train = cut(ordinal(training_pairs(chosen, src, tgt), [F.col("src"), F.col("tgt")], "pid"))
     plan = TransportPlan(train, reg, max_iter, tol)

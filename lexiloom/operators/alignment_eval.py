@@ -105,7 +105,7 @@ def evaluate_all(methods: Mapping[str, DataFrame], pairs: DataFrame, gold: DataF
     return rows
 
 
-def sample_pairs(pairs: DataFrame, src: DataFrame, tgt: DataFrame, n: int = 200, seed: int = 42) -> DataFrame:
+def sample_pairs(pairs: DataFrame, src: DataFrame, tgt: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """A repeatable sample of pairs known on both sides, labelled ``src/tgt``."""
     chosen = pair_sample(pairs, n, seed)
     for key, table in (("src", src), ("tgt", tgt)):

@@ -14,7 +14,6 @@ from pyspark.sql.window import Window
 from lexiloom.session import cut
 
 BROADCAST_BYTES = 256 << 20
-SALTS = 16
 BLOCK_ROWS = 4096
 PACKED = "blk int, v binary"  # a block of doubles, row by row
 
@@ -28,19 +27,16 @@ def table_bytes(df: DataFrame, *text_cols: str, overhead: int = 64) -> int:
 
 
 def lookup(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", small_bytes: int | None = None,
-           limit: int = BROADCAST_BYTES, salts: int = SALTS) -> DataFrame:
+           limit: int = BROADCAST_BYTES) -> DataFrame:
     """Join ``big`` to ``small``, which has one row per key.
 
-    ``small`` is broadcast only when its known size is below ``limit``. Otherwise both sides are shuffled and the
-    big side's keys are salted, so a hot key is spread over ``salts`` tasks.
+    ``small`` is broadcast only when its known size is below ``limit``. Otherwise both sides are shuffled once, uncopied;
+    adaptive execution splits the partitions of ``big`` that it measures as hot.
     """
     on = list(on)
     if small_bytes is not None and small_bytes <= limit:
         return big.join(F.broadcast(small), on, how)
-    rest = [c for c in big.columns if c not in on] or on
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int"))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    return big.join(small, on, how)
 
 
 def ordinal(df: DataFrame, order: Sequence[Column], name: str = "idx") -> DataFrame:

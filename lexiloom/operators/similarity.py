@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lexiloom.functions.vectors import cosine, dot, l2_normalize
-from lexiloom.operators.common import blocks, lookup, meet, ordinal, table_bytes, vector_shape
+from lexiloom.operators.common import BROADCAST_BYTES, blocks, lookup, meet, ordinal, table_bytes, vector_shape
+from lexiloom.session import cut
 
 COS_DIGITS = 12
 
@@ -27,10 +28,22 @@ def vector_bytes(shape: Shape) -> int:
 
 
 def with_vectors(pairs: DataFrame, vectors: DataFrame, key: str, out: str, shape: Shape | None = None,
-                 how: str = "inner") -> DataFrame:
-    """Attach the vector of ``key``; pairs without one are dropped (or kept with ``how="left"``)."""
+                 how: str = "inner", limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Attach the vector of ``key``; pairs without one are dropped (or kept with ``how="left"``).
+
+    A vector table too large to broadcast is first cut down to the words that are asked for, by a semi-join with their
+    distinct list when that is small enough to broadcast; only then does it meet the pairs.
+    """
     named = vectors.select(F.col("word").alias(key), F.col("vec").alias(out))
-    return lookup(pairs, named, [key], how, small_bytes=vector_bytes(shape or vector_shape(vectors)))
+    shape = shape or vector_shape(vectors)
+    if vector_bytes(shape) <= limit:
+        return lookup(pairs, named, [key], how, small_bytes=vector_bytes(shape), limit=limit)
+    asked = cut(pairs.select(key).distinct())
+    size = table_bytes(asked.select(F.col(key).cast("string").alias(key)), key)
+    if size > limit:
+        return lookup(pairs, named, [key], how)
+    needed = named.join(F.broadcast(asked), key, "left_semi")
+    return lookup(pairs, needed, [key], how, small_bytes=size + asked.count() * (8 * shape[1] + 64), limit=limit)
 
 
 def cosine_cells(pairs: DataFrame, src: DataFrame, tgt: DataFrame) -> DataFrame:
@@ -104,10 +117,12 @@ def analogy_scores(questions: DataFrame, vectors: DataFrame) -> DataFrame:
     )
 
 
-def kmeans(vectors: DataFrame, k: int = 10, seed: int = 42) -> DataFrame:
-    """Cluster number per word."""
+def kmeans(vectors: DataFrame, k: int = 10, seed: int = 42, max_iter: int = 1000) -> DataFrame:
+    """Cluster number per word, iterated until the centres settle; an error if ``max_iter`` rounds are not enough."""
     feats = vectors.withColumn("features", array_to_vector("vec"))
-    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(feats)
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="cluster").fit(feats)
+    if model.summary.numIter >= max_iter:
+        raise ValueError(f"centres still move after {max_iter} rounds")
     return model.transform(feats).drop("features")
 
 
@@ -205,7 +220,7 @@ def group_cosine(concepts: DataFrame, src: DataFrame, tgt: DataFrame) -> DataFra
     known = with_vectors(concepts.select("category", "src", "tgt"), unit_table(src), "src", "x")
     known = with_vectors(known, unit_table(tgt), "tgt", "y")
     centre = mean_vector(known.select("category", F.col("y").alias("vec")), ["category"])
-    n_bytes = table_bytes(centre, "category", overhead=4096)
+    n_bytes = table_bytes(centre, "category", overhead=64 + 8 * vector_shape(tgt)[1])
     rows = lookup(known.select("category", "src", "tgt", "x", "y"), centre, ["category"], small_bytes=n_bytes)
     return rows.select(
         "category", "src", "tgt", dot(F.col("x"), F.col("y")).alias("own_cos"),

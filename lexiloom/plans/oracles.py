@@ -223,7 +223,7 @@ WHERE c_acctbal >= 0 AND c_custkey IN (SELECT o_custkey FROM orders)""",
     "analogy_scan": _with(LN, f"t AS (SELECT doc_id, line, {_toks('sentence')} AS p FROM ln)")
     + "SELECT doc_id, CAST(line AS INTEGER) AS line, p[1] AS a, p[2] AS b, p[3] AS c, p[4] AS d FROM t WHERE len(p) = 4",
     "concept_scan": """SELECT p_partkey AS pos, p_type AS category, p_name AS src, p_brand AS tgt FROM part
-WHERE p_name IN (SELECT p_name FROM part WHERE p_retailprice > 1000) AND p_brand IN (SELECT p_brand FROM part WHERE p_size >= 25)""",
+WHERE p_name IN (SELECT p_name FROM part WHERE p_name LIKE '% widget') AND p_brand IN (SELECT p_brand FROM part WHERE p_brand LIKE 'Brand#1%')""",
     "vocab_scan": _with(*CORPUS) + "SELECT DISTINCT word FROM words",
     "vocab_json": _with(*CORPUS) + "SELECT word, CAST(count(*) AS INTEGER) AS freq FROM words GROUP BY word",
     "metrics_scan": _with(MET) + f'SELECT "Method", "Configuration", "Window", "Normalization", "Dimensions", {MROUND} FROM met',

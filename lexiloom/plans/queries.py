@@ -129,11 +129,11 @@ def analogy_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def concept_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Part lines (type, name, brand) whose name is that of a part above 1000 and whose brand is of size 25 or more."""
+    """Part lines (type, name, brand) whose name is among the widgets and whose brand among those that begin with 1."""
     part = I.table(spark, sf, "part")
     rows = part.select(F.col("p_partkey").alias("pos"), F.concat_ws("\t", "p_type", "p_name", "p_brand").alias("value"))
-    names = part.filter("p_retailprice > 1000").select(F.col("p_name").alias("word"))
-    brands = part.filter("p_size >= 25").select(F.col("p_brand").alias("word"))
+    names = part.filter("p_name LIKE '% widget'").select(F.col("p_name").alias("word"))
+    brands = part.filter("p_brand LIKE 'Brand#1%'").select(F.col("p_brand").alias("word"))
     return readers.parse_concepts(rows, names, brands)
 
 
@@ -647,7 +647,7 @@ def evaluate_all(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def sample_pairs(spark: SparkSession, sf: str) -> DataFrame:
     v = I.vectors(spark, sf)
-    return E.sample_pairs(I.next_pairs(spark, sf), v, v)
+    return E.sample_pairs(I.next_pairs(spark, sf), v, v, 200)
 
 
 # --- bias ----------------------------------------------------------------------------------------------------------

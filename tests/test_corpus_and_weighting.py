@@ -87,7 +87,7 @@ def test_weighting_properties(spark):
         W.weight(cooc, "other", n)
 
 
-def test_salted_lookup_equals_broadcast(spark):
+def test_shuffled_lookup_equals_broadcast(spark):
     big = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
     small = spark.createDataFrame([(0, "a"), (1, "b")], "k long, v string")
     for how in ("inner", "left", "left_semi"):

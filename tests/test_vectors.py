@@ -228,3 +228,26 @@ def test_pair_bias_over_zero(spark):
     pairs = spark.createDataFrame([("x", "she")], "male string, female string")
     row = B.pair_bias(probs, pairs).first()
     assert row["ratio"] == float("inf") and row["difference"] == row["male_prob"]
+
+
+def test_lookups_above_the_limit_cut_the_vectors_down_and_copy_nothing(spark):
+    vectors = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(300)], "word long, vec array<double>")
+    pairs = spark.createDataFrame([(1, 7), (2, 7), (3, 999)], "src long, tgt long")
+    for how in ("inner", "left"):
+        want = sorted(map(str, S.with_vectors(pairs, vectors, "tgt", "y", how=how).collect()))
+        for limit in (1, 1000):
+            got = S.with_vectors(pairs, vectors, "tgt", "y", how=how, limit=limit)
+            assert sorted(map(str, got.select("src", "tgt", "y").collect())) == sorted(map(str, S.with_vectors(pairs, vectors, "tgt", "y", how=how).select("src", "tgt", "y").collect()))
+            plan = got._jdf.queryExecution().toString()
+            assert "Generate" not in plan and "explode" not in plan and ("LeftSemi" in plan) == (limit == 1000)
+        assert len(want) == (2 if how == "inner" else 3)
+
+
+def test_unsettled_results_are_errors(spark):
+    rng = np.random.default_rng(0)
+    vectors = spark.createDataFrame([(i, rng.normal(size=3).tolist()) for i in range(60)], "word long, vec array<double>")
+    with pytest.raises(ValueError, match="still move"):
+        S.kmeans(vectors, 8, max_iter=1)
+    train = vectors.selectExpr("word AS pid", "vec AS x", "reverse(vec) AS y")
+    with pytest.raises(ValueError, match="still off"):
+        A.TransportPlan(train, 0.05, 1, 1e-12)
