@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from lexiloom.session import cut, discard
 
-BUCKET_ROWS = 20_000  # rows that one task numbers at a time
+BUCKET_ROWS = 2_000  # rows that one task numbers together
 BROADCAST_BYTES = 64 << 20
 
 
