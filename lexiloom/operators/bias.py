@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.functions.text import template_fill
 from lexiloom.functions.vectors import dot
-from lexiloom.operators.common import lookup, table_bytes, vector_shape
+from lexiloom.operators.common import lookup, vector_shape
 from lexiloom.operators.similarity import mean_vector, unit_table, with_vectors
 
 # Default word sets, roles, token pairs and sentence.
@@ -19,6 +21,8 @@ ROLES = ("doctor", "nurse", "engineer", "teacher", "scientist", "homemaker", "pr
 TOKEN_PAIRS = (("he", "she"), ("his", "her"), ("man", "woman"))
 TEMPLATE = "The {role} said that [MASK] is very busy."
 
+STEP = 64.0  # logits within half of it of a multiple are summed together
+
 
 def set_vectors(wordsets: DataFrame, vectors: DataFrame) -> DataFrame:
     """(set_name, word, vec) with unit vectors; unknown words keep a null vector."""
@@ -57,15 +61,15 @@ def differential(found: DataFrame, targets: tuple[str, str] = ("T1", "T2"),
 
 def weat_effect(found: DataFrame, targets: tuple[str, str] = ("T1", "T2"),
                 attributes: tuple[str, str] = ("A1", "A2")) -> DataFrame:
-    """One row: effect size, mean differences, sample size, missing words. No spread gives a null effect size."""
+    """One row: effect size, mean differences, sample size, number of missing words. No spread gives a null effect size."""
     diff = differential(found, targets, attributes)
     t1, t2 = (F.avg(F.when(F.col("set_name") == t, F.col("diff"))) for t in targets)
     spread = F.stddev_samp("diff")
-    missing = missing_words(found).agg(F.sort_array(F.collect_list("word"))).scalar()
+    missing = missing_words(found).agg(F.count(F.lit(1))).scalar()
     return diff.agg(
         F.when(spread > 1e-12, (t1 - t2) / spread).alias("effect_size"),
         t1.alias("t1_mean_diff"), t2.alias("t2_mean_diff"), F.count(F.lit(1)).alias("sample_size"),
-    ).withColumn("missing_words", missing)
+    ).withColumn("missing", missing)
 
 
 def prompts(roles: DataFrame, template: str = TEMPLATE) -> DataFrame:
@@ -73,23 +77,39 @@ def prompts(roles: DataFrame, template: str = TEMPLATE) -> DataFrame:
     return roles.select("role", template_fill(F.lit(template), F.col("role")).alias("prompt"))
 
 
-def softmax_at_mask(logits: DataFrame, tokens: list[str]) -> DataFrame:
-    """(role, token, prob) of the chosen tokens; the softmax runs over every token of a prompt's logits."""
-    tops = logits.groupBy("role").agg(F.max("logit").alias("_top"))
-    shifted = lookup(logits, tops, ["role"], small_bytes=table_bytes(tops, "role"))
-    scaled = F.exp(F.col("logit") - F.col("_top"))
-    sums = shifted.groupBy("role").agg(F.sum(scaled).alias("_sum"), F.max("_top").alias("_top"))
-    chosen = logits.filter(F.col("token").isin(*tokens))
-    joined = lookup(chosen, sums, ["role"], small_bytes=table_bytes(sums, "role"))
-    return joined.select("role", "token", (scaled / F.col("_sum")).alias("prob"))
+def softmax_at_mask(logits: DataFrame, tokens: Sequence[str]) -> DataFrame:
+    """(role, token, prob) of the chosen tokens; the softmax runs over every token of a prompt's logits.
+
+    (role, token) is unique. One pass: exponentials are summed relative to the nearest multiple of ``STEP``, which
+    cannot overflow, and the few sums of a role are then brought to its largest multiple. A logit of minus infinity is
+    a probability of 0.
+    """
+    logit, at = F.col("logit"), F.rint(F.col("logit") / STEP) * STEP
+    masked = logit == float("-inf")
+    asked = F.when(F.col("token").isin(*tokens), F.struct("token", "logit"))
+    sums = logits.groupBy("role", at.alias("_at")).agg(
+        F.sum(F.when(masked, 0.0).otherwise(F.exp(logit - at))).alias("_s"), F.collect_list(asked).alias("_asked")
+    )
+    roles = sums.groupBy("role").agg(
+        F.max("_at").alias("_top"), F.collect_list(F.struct("_at", "_s")).alias("_parts"), F.flatten(F.collect_list("_asked")).alias("_asked")
+    )
+    total = F.aggregate("_parts", F.lit(0.0), lambda acc, p: acc + p["_s"] * F.exp(p["_at"] - F.col("_top")))
+    rows = roles.select("role", "_top", total.alias("_total"), F.inline("_asked"))
+    return rows.select("role", "token", (F.exp(logit - F.col("_top")) / F.col("_total")).alias("prob"))
+
 
+def pair_bias(probs: DataFrame, pairs: Sequence[tuple[str, str]] = TOKEN_PAIRS) -> DataFrame:
+    """Per role and token pair with both tokens known: probabilities, difference, ratio (infinity over zero)."""
+    tokens = {t for pair in pairs for t in pair}
+    known = probs.filter(F.col("token").isin(*tokens)).groupBy("role").agg(F.collect_list(F.struct("token", "prob")).alias("_known"))
 
-def pair_bias(probs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Per role and token pair: both probabilities, difference, ratio (infinity over zero)."""
-    def side(name: str) -> DataFrame:
-        return probs.select("role", F.col("token").alias(name), F.col("prob").alias(f"{name}_prob"))
+    def prob(token: Column) -> Column:
+        return F.array_max(F.transform(F.filter("_known", lambda k: k["token"] == token), lambda k: k["prob"]))
 
-    joined = pairs.join(side("male"), "male").join(side("female"), ["female", "role"])
+    asked = F.array(*[F.struct(F.lit(m).alias("male"), F.lit(f).alias("female")) for m, f in pairs])
+    rows = known.select("role", "_known", F.inline(asked)).select(
+        "role", "male", "female", prob(F.col("male")).alias("male_prob"), prob(F.col("female")).alias("female_prob")
+    )
     m, f = F.col("male_prob"), F.col("female_prob")
-    ratio: Column = F.when(f > 0, F.try_divide(m, f)).otherwise(F.lit(float("inf")))
-    return joined.select("role", "male", "female", m, f, (m - f).alias("difference"), ratio.alias("ratio"))
+    ratio = F.when(f > 0, F.try_divide(m, f)).otherwise(F.lit(float("inf")))
+    return rows.filter(m.isNotNull() & f.isNotNull()).select("*", (m - f).alias("difference"), ratio.alias("ratio"))

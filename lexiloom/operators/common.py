@@ -15,6 +15,7 @@ from lexiloom.session import cut
 
 BROADCAST_BYTES = 256 << 20
 BLOCK_ROWS = 4096
+MATRIX_TASKS = 256  # tasks that add up the rows of a small matrix, at most
 PACKED = "blk int, v binary"  # a block of doubles, row by row
 
 
@@ -107,17 +108,13 @@ def outer_sum(rows: DataFrame, x: str, y: str) -> np.ndarray:
                 part = np.stack(batch["x"]).T @ np.stack(batch["y"])
                 total = part if total is None else total + part
         if total is not None:
-            yield pd.DataFrame({"i": np.arange(len(total)), "v": list(total)})
+            yield pd.DataFrame({"blk": np.arange(len(total)), "v": [row.tobytes() for row in total]})
 
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"i": pdf["i"].iloc[:1], "v": [np.sum(np.stack(pdf["v"]), axis=0)]})
-
-    schema = "i int, v array<double>"
-    parts = rows.select(F.col(x).alias("x"), F.col(y).alias("y")).mapInPandas(partial, schema)
-    got = parts.groupBy("i").applyInPandas(add, schema).toPandas()
+    parts = rows.select(F.col(x).alias("x"), F.col(y).alias("y")).mapInPandas(partial, PACKED)
+    got = add_blocks(parts, MATRIX_TASKS).toPandas()
     if got.empty:
         raise ValueError("no rows to multiply")
-    return np.stack(got.sort_values("i")["v"])
+    return np.stack([np.frombuffer(v) for v in got.sort_values("blk")["v"]])
 
 
 def add_blocks(parts: DataFrame, n: int) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexiloom.operators.common import BROADCAST_BYTES, ordinal, table_bytes
+
 # The metric columns that reports compare.
 METRICS = ("SimLex-Correlation", "WordSim-Correlation", "Analogy-Accuracy", "Clustering-Silhouette")
 BINS = 20
@@ -73,34 +75,53 @@ def metric_correlation(table: DataFrame, columns: Sequence[str] | None = None) -
     return wide.select(F.inline(rows))
 
 
-def histogram(table: DataFrame, column: str, bins: int = BINS) -> DataFrame:
-    """(bin, lo, hi, n): ``bins`` equal bins from minimum to maximum, the last one closed; empty bins are kept.
+def histograms(table: DataFrame, columns: Sequence[str], bins: int = BINS) -> DataFrame:
+    """(metric, bin, lo, hi, n) per column: ``bins`` equal bins from minimum to maximum, the last one closed.
 
-    When all values are equal they fall into the first bin.
+    Empty bins are kept; when all values of a column are equal they fall into its first bin; a column without values
+    gives no rows. All columns are read together, once for their ranges and once for the counts.
     """
-    values = table.select(nan_to_null(column).cast("double").alias("v")).filter("v is not null")
-    spanned = values.select("v", values.agg(F.min("v")).scalar().alias("lo"), values.agg(F.max("v")).scalar().alias("hi"))
-    place = F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)
+    values = long_form(table, columns, ids=()).filter("value is not null")
+    spans = values.groupBy("metric").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    place = F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)
     number = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(F.least(place, F.lit(bins - 1))).cast("int")
-    counts = spanned.select(number.alias("bin"), "lo", "hi").groupBy("bin").agg(
-        F.count(F.lit(1)).alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
+    spanned = values.join(F.broadcast(spans), "metric")  # one row per column of the table
+    counts = spanned.groupBy("metric", "lo", "hi", number.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    filled = F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("filled")  # at most ``bins`` entries
+    every = counts.groupBy("metric", "lo", "hi").agg(filled).select(
+        "*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
     )
-    span = counts.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    every = span.select("lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     step = (F.col("hi") - F.col("lo")) / bins
-    return every.join(counts.select("bin", "n"), "bin", "left").select(
-        "bin", (F.col("lo") + step * F.col("bin")).alias("lo"), (F.col("lo") + step * (F.col("bin") + 1)).alias("hi"),
-        F.coalesce("n", F.lit(0).cast("long")).alias("n"),
+    return every.select(
+        "metric", "bin", (F.col("lo") + step * F.col("bin")).alias("lo"), (F.col("lo") + step * (F.col("bin") + 1)).alias("hi"),
+        F.coalesce(F.try_element_at("filled", "bin"), F.lit(0).cast("long")).alias("n"),
     )
 
 
+def histogram(table: DataFrame, column: str, bins: int = BINS) -> DataFrame:
+    """(bin, lo, hi, n) of one column, as :func:`histograms`."""
+    return histograms(table, [column], bins).drop("metric")
+
+
 def box_summary(table: DataFrame, group: str, column: str) -> DataFrame:
-    """Minimum, quartiles and maximum of a metric per group (linear interpolation)."""
-    q = F.percentile(nan_to_null(column), F.array(*[F.lit(p) for p in (0.0, 0.25, 0.5, 0.75, 1.0)]))
-    named = ("min", "q1", "median", "q3", "max")
-    return table.groupBy(group).agg(q.alias("_q")).select(
-        group, *[F.col("_q")[i].alias(n) for i, n in enumerate(named)]
-    )
+    """Minimum, quartiles and maximum of a metric per group (linear interpolation); nulls are skipped.
+
+    Values get their place by ranges, so no task holds a whole group; a quantile is the sum of the one or two values
+    around its place, each times one minus its distance.
+    """
+    rows = table.select(_c(group).alias("_g"), nan_to_null(column).cast("double").alias("_v"), F.monotonically_increasing_id().alias("_k"))
+    placed = ordinal(rows, [F.col("_g"), F.col("_v"), F.col("_k")], "_i")
+    known = F.when(F.col("_v").isNotNull(), F.col("_i"))
+    starts = placed.groupBy(F.col("_g").alias("_h")).agg(F.min(known).alias("_start"), F.count("_v").alias("_n"))
+    size = table_bytes(starts.select(F.col("_h").cast("string").alias("_h")), "_h")
+    joined = placed.join(F.broadcast(starts) if size <= BROADCAST_BYTES else starts, F.col("_g").eqNullSafe(F.col("_h")))
+
+    def quantile(p: float) -> Column:
+        near = 1 - F.abs(F.col("_i") - F.col("_start") - (F.col("_n") - 1) * p)
+        return F.sum(F.when(near > 0, F.col("_v") * near))
+
+    named = {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
+    return joined.groupBy(F.col("_g").alias(group)).agg(*[quantile(p).alias(n) for n, p in named.items()])
 
 
 def surface_pivot(table: DataFrame, column: str, dims: Sequence[int]) -> DataFrame:
@@ -153,8 +174,16 @@ def with_label(table: DataFrame, prefix: str) -> DataFrame:
 
 
 def triples_from_tokens(tokens: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Chunk tokens (group, pos, token) into records of three per group; an incomplete tail is dropped."""
-    keyed = tokens.select(*order, F.floor(F.col("pos") / 3).alias("rec"), (F.col("pos") % 3).alias("slot"), "token")
-    named = [F.max(F.when(F.col("slot") == i, F.col("token"))).alias(n) for i, n in enumerate(("category", "src", "tgt"))]
-    grouped = keyed.groupBy(*order, "rec").agg(F.count(F.lit(1)).alias("_n"), *named)
-    return grouped.filter("_n = 3").drop("_n")
+    """Cut the token array ``toks`` of every row into records of three (order.., rec, category, src, tgt).
+
+    An incomplete tail is dropped. Rows stay where they are: there is no shuffle.
+    """
+    n = F.floor(F.size("toks") / 3)
+    named = ("category", "src", "tgt")
+
+    def record(r: Column) -> Column:
+        cells = [F.get("toks", (r * 3 + i).cast("int")).alias(name) for i, name in enumerate(named)]
+        return F.struct(r.alias("rec"), *cells)
+
+    records = F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(n, F.lit(1)) - 1), record)
+    return tokens.filter(n > 0).select(*order, F.inline(records))

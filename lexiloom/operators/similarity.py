@@ -8,7 +8,8 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -229,8 +230,6 @@ def group_cosine(concepts: DataFrame, src: DataFrame, tgt: DataFrame) -> DataFra
 
 
 def mean_vector(rows: DataFrame, by: list[str], vec: str = "vec") -> DataFrame:
-    """Element-wise mean of ``vec`` per group, as (by.., n, mean); partial sums are combined before the shuffle."""
-    cells = rows.select(*by, F.posexplode(vec).alias("p", "x"))
-    means = cells.groupBy(*by, "p").agg(F.avg("x").alias("m"), F.count(F.lit(1)).alias("n"))
-    packed = means.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("p", "m"))).alias("c"), F.max("n").alias("n"))
-    return packed.select(*by, "n", F.col("c")["m"].alias("mean"))
+    """Element-wise mean of ``vec`` per group, as (by.., n, mean); whole vectors are added map-side, in the JVM."""
+    mean = Summarizer.mean(array_to_vector(F.col(vec)))
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), mean.alias("_m")).select(*by, "n", vector_to_array("_m").alias("mean"))

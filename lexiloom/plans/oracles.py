@@ -17,7 +17,7 @@ def _list(values) -> str:
 
 
 def _with(*parts: str) -> str:
-    return "WITH " + ",\n".join(parts) + "\n"
+    return "WITH RECURSIVE " + ",\n".join(parts) + "\n"
 
 
 def _clean(col: str) -> str:
@@ -144,7 +144,7 @@ PROBS = """lg AS (SELECT word AS role, 't' || (i - 1) AS token, x * 10 AS logit
   FROM (SELECT word, unnest(vec) AS x, generate_subscripts(vec, 1) AS i FROM v)),
 probs AS (SELECT * FROM (
   SELECT role, token, exp(logit - max(logit) OVER (PARTITION BY role)) / sum(exp(logit)) OVER (PARTITION BY role)
-    * exp(max(logit) OVER (PARTITION BY role)) AS prob FROM lg) WHERE token IN ('t0', 't1', 't2', 't3'))"""
+    * exp(max(logit) OVER (PARTITION BY role)) AS prob FROM lg))"""
 
 MET = f"""met AS (
   SELECT lang AS "Method", source AS "Configuration", CAST(2 + n % 5 * 2 AS INTEGER) AS "Window",
@@ -173,17 +173,80 @@ def _hist(name: str) -> str:
   GROUP BY b.bin, lo, hi"""
 
 
-def _sinkhorn(rounds: int) -> str:
-    """Scaling vectors u, v by alternating sums, one pair of statements per round."""
-    parts = [V, f"""train AS (SELECT p.src AS pid, a.vec AS x, b.vec AS y FROM (SELECT vec_id AS src, vec_id + 1 AS tgt FROM embeddings) p
-  JOIN v a ON a.word = p.src JOIN v b ON b.word = p.tgt)""",
-             f"""ker AS MATERIALIZED (SELECT a.pid AS i, b.pid AS j, exp({_cos('a.x', 'b.y')} / {I.REG}) AS k FROM train a, train b)""",
-             "cnt AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM train)",
-             "u0 AS (SELECT pid AS i, 1 / n AS u FROM train, cnt)"]
-    for r in range(1, rounds + 1):
-        parts.append(f"v{r} AS MATERIALIZED (SELECT j, 1 / n / sum(k * u) AS v FROM ker JOIN u{r - 1} USING (i), cnt GROUP BY j, n)")
-        parts.append(f"u{r} AS MATERIALIZED (SELECT i, 1 / n / sum(k * v) AS u FROM ker JOIN v{r} USING (j), cnt GROUP BY i, n)")
-    return _with(*parts)
+TRAIN = """train AS (SELECT p.src AS pid, a.vec AS x, b.vec AS y FROM (SELECT vec_id AS src, vec_id + 1 AS tgt FROM embeddings) p
+  JOIN v a ON a.word = p.src JOIN v b ON b.word = p.tgt)"""
+SINKHORN = (
+    V, TRAIN, f"ker AS MATERIALIZED (SELECT a.pid AS i, b.pid AS j, exp({_cos('a.x', 'b.y')} / {I.REG}) AS k FROM train a, train b)",
+    "cnt AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM train)",
+    # scaling vectors by alternating sums; far more rounds than the tolerance needs
+    """scal(r, i, u, v) AS (SELECT 0, pid, 1 / n, CAST(0 AS DOUBLE) FROM train, cnt UNION ALL (
+  WITH cs AS (SELECT s.r, ker.j, 1 / n / sum(k * u) AS v FROM ker JOIN scal s USING (i), cnt WHERE s.r < 60 GROUP BY s.r, ker.j, n)
+  SELECT any_value(cs.r) + 1, ker.i, 1 / any_value(n) / sum(k * cs.v), any_value(own.v)
+  FROM ker JOIN cs USING (j) JOIN cs own ON own.j = ker.i, cnt GROUP BY ker.i))""",
+    "solved AS MATERIALIZED (SELECT i, u, v FROM scal WHERE r = 60)",
+    """bary AS MATERIALIZED (SELECT ker.i AS pid, p, sum(n * a.u * k * b.v * y) AS x FROM ker JOIN solved a ON a.i = ker.i JOIN solved b ON b.i = ker.j
+  JOIN (SELECT pid AS j, unnest(y) AS y, generate_subscripts(y, 1) AS p FROM train) t ON t.j = ker.j, cnt GROUP BY ker.i, p)""",
+)
+# The orthogonal factor of the sum of x ybar^T: steps 1.5 m - 0.5 m m^T m bring every singular value to 1.
+POLAR = (
+    """cross0 AS MATERIALIZED (SELECT t.i, bary.p AS j, sum(t.x * bary.x) AS x
+  FROM (SELECT pid, unnest(x) AS x, generate_subscripts(x, 1) AS i FROM train) t JOIN bary USING (pid) GROUP BY 1, 2)""",
+    """pol(r, i, j, x) AS (SELECT 0, i, j, x / (SELECT sqrt(sum(x * x)) FROM cross0) FROM cross0 UNION ALL (
+  WITH sq AS (SELECT a.j AS i, b.j, sum(a.x * b.x) AS x FROM pol a JOIN pol b USING (i) WHERE a.r < 60 GROUP BY 1, 2),
+  cu AS (SELECT a.i, sq.j, sum(a.x * sq.x) AS x FROM pol a JOIN sq ON sq.i = a.j GROUP BY 1, 2)
+  SELECT a.r + 1, a.i, a.j, 1.5 * a.x - 0.5 * cu.x FROM pol a JOIN cu ON cu.i = a.i AND cu.j = a.j))""",
+    "rot AS MATERIALIZED (SELECT i, j, x FROM pol WHERE r = 60)",
+)
+CELL = "cell AS (SELECT word, unnest(vec) AS x, generate_subscripts(vec, 1) AS i FROM v)"
+CENTRED = (
+    V, CELL, "cen AS MATERIALIZED (SELECT word, i, x - avg(x) OVER (PARTITION BY i) AS x FROM cell)",
+    "cov1 AS MATERIALIZED (SELECT a.i, b.i AS j, sum(a.x * b.x) AS x FROM cen a JOIN cen b USING (word) GROUP BY 1, 2)",
+)
+
+
+def _axis(k: int) -> tuple[str, ...]:
+    """The k-th principal axis: a covariance squared over and over becomes the projector on its first axis."""
+    return (
+        f"""pw{k}(r, i, j, x) AS (SELECT 0, i, j, x / (SELECT sum(x) FROM cov{k} WHERE i = j) FROM cov{k}
+  UNION ALL SELECT r + 1, i, j, x / sum(CASE WHEN i = j THEN x END) OVER ()
+  FROM (SELECT a.r, a.i, b.j, sum(a.x * b.x) AS x FROM pw{k} a JOIN pw{k} b ON a.j = b.i WHERE a.r < 24 GROUP BY 1, 2, 3))""",
+        f"proj{k} AS MATERIALIZED (SELECT i, j, x FROM pw{k} WHERE r = 24)",
+        f"top{k} AS (SELECT i, x FROM proj{k} WHERE i = j ORDER BY x DESC LIMIT 1)",
+        f"axis{k} AS (SELECT p.i, p.x / sqrt(t.x) AS a FROM proj{k} p JOIN top{k} t ON p.j = t.i)",
+        f"at{k} AS (SELECT word, sum(x * a) AS c FROM cen JOIN axis{k} USING (i) GROUP BY word)",
+        f"""cov{k + 1} AS MATERIALIZED (SELECT i, j, c.x - (SELECT sum(a.x * b.x) FROM cov{k} a JOIN proj{k} b ON a.i = b.i AND a.j = b.j) * p.x AS x
+  FROM cov{k} c JOIN proj{k} p USING (i, j))""",
+    )
+
+
+def _inverse(name: str, m: str) -> tuple[str, ...]:
+    """Inverse of a covariance by steps x + x (1 - m x)."""
+    return (
+        f"""it_{name}(r, i, j, x) AS (SELECT 0, i, j, x / (SELECT sum(x * x) FROM {m}) FROM {m} UNION ALL (
+  WITH e AS (SELECT m.i, t.j, (m.i = t.j)::INT - sum(m.x * t.x) AS x FROM {m} m JOIN it_{name} t ON m.j = t.i WHERE t.r < 40 GROUP BY 1, 2),
+  f AS (SELECT t.i, e.j, sum(t.x * e.x) AS x FROM it_{name} t JOIN e ON t.j = e.i GROUP BY 1, 2)
+  SELECT t.r + 1, t.i, t.j, t.x + f.x FROM it_{name} t JOIN f ON f.i = t.i AND f.j = t.j))""",
+        f"{name} AS MATERIALIZED (SELECT i, j, x FROM it_{name} WHERE r = 40)",
+    )
+
+
+def _moment(name: str, a: str, b: str) -> str:
+    return f"{name} AS MATERIALIZED (SELECT a.i, b.i AS j, sum(a.x * b.x) AS x FROM {a} a JOIN {b} b USING (pid) GROUP BY 1, 2)"
+
+
+def _side(name: str, col: str) -> str:
+    return f"""{name} AS MATERIALIZED (SELECT pid, i, x - avg(x) OVER (PARTITION BY i) AS x
+  FROM (SELECT pid, unnest({col}) AS x, generate_subscripts({col}, 1) AS i FROM train))"""
+
+
+CCA = (V, TRAIN, _side("sx", "x"), _side("sy", "y"), _moment("cxx", "sx", "sx"), _moment("cyy", "sy", "sy"), _moment("cxy", "sx", "sy"),
+       *_inverse("ixx", "cxx"), *_inverse("iyy", "cyy"),
+       "l AS (SELECT a.i, b.j, sum(a.x * b.x) AS x FROM ixx a JOIN cxy b ON a.j = b.i GROUP BY 1, 2)",
+       "r AS (SELECT b.i, a.i AS j, sum(a.x * b.x) AS x FROM iyy a JOIN cxy b ON a.j = b.j GROUP BY 1, 2)")
+LEADING = ("""pp AS MATERIALIZED (SELECT row, col, greatest(0.0, ln(w * sum(w) OVER () / (sum(w) OVER (PARTITION BY row) * sum(w) OVER (PARTITION BY col)))) AS w FROM cooc)""",
+           """lead(r, i, x, s) AS (SELECT 0, idx, CAST(1 AS DOUBLE), CAST(0 AS DOUBLE) FROM vocab UNION ALL
+  SELECT r + 1, row, y / sqrt(sum(y * y) OVER ()), sqrt(sum(y * y) OVER ())
+  FROM (SELECT r, row, sum(w * x) AS y FROM pp JOIN lead ON i = col WHERE r < 200 AND w > 0 GROUP BY r, row))""")
 
 
 def _cells(source: str, key: str = "word") -> str:
@@ -202,13 +265,15 @@ WRAPPED = rf"regexp_replace(regexp_replace({LED}, '({UNITS_RE})', '__\1__', 'g')
 ORACLES = {
     # sources and sinks
     "corpus_scan": _with(LN) + "SELECT sentence, count(*) AS n FROM ln GROUP BY sentence",
-    "vectors_text_scan": _with(V, WORD_VEC) + "SELECT word, first_pos, round(vec[1], 6) AS x0, CAST(len(vec) AS INTEGER) AS dim FROM last",
+    "vectors_text_scan": _with(V, WORD_VEC) + _cells("last", "word, first_pos"),
     "vectors_text_capped": _with(
         V, "firsts AS (SELECT label, min(word) AS first_pos FROM v GROUP BY label ORDER BY first_pos LIMIT 5)",
         "stop AS (SELECT max(first_pos) AS p FROM firsts)",
-    ) + """SELECT 'w' || label AS word, min(word) AS first_pos, round(arg_max(vec, word)[1], 6) AS x0
-FROM v, stop WHERE word <= p GROUP BY label""",
+        "kept AS (SELECT 'w' || label AS word, min(word) AS first_pos, arg_max(vec, word) AS vec FROM v, stop WHERE word <= stop.p GROUP BY label)",
+    ) + _cells("kept", "word, first_pos"),
     "vectors_text_sink": _with(V) + _cells("v"),
+    "vectors_text_header": _with(V) + _cells("v"),
+    "vectors_text_sniff": _with(V) + _cells("v"),
     "dict_scan_ws": _with(LN, f"t AS (SELECT doc_id, line, {_toks('sentence')} AS p FROM ln)")
     + "SELECT doc_id, CAST(line AS INTEGER) AS line, p[1] AS src, p[2] AS tgt FROM t WHERE len(p) >= 2",
     "dict_scan_tab_filtered": _with(
@@ -222,6 +287,8 @@ WHERE c_acctbal >= 0 AND c_custkey IN (SELECT o_custkey FROM orders)""",
     "gold_similarity_plain": "SELECT p_name, p_type, p_retailprice FROM part",
     "analogy_scan": _with(LN, f"t AS (SELECT doc_id, line, {_toks('sentence')} AS p FROM ln)")
     + "SELECT doc_id, CAST(line AS INTEGER) AS line, p[1] AS a, p[2] AS b, p[3] AS c, p[4] AS d FROM t WHERE len(p) = 4",
+    "analogy_file": _with(LN, f"t AS (SELECT {_toks('sentence')} AS p FROM ln)")
+    + "SELECT p[1] AS a, p[2] AS b, p[3] AS c, p[4] AS d, count(*) AS n FROM t WHERE len(p) = 4 GROUP BY 1, 2, 3, 4",
     "concept_scan": """SELECT p_partkey AS pos, p_type AS category, p_name AS src, p_brand AS tgt FROM part
 WHERE p_name IN (SELECT p_name FROM part WHERE p_name LIKE '% widget') AND p_brand IN (SELECT p_brand FROM part WHERE p_brand LIKE 'Brand#1%')""",
     "vocab_scan": _with(*CORPUS) + "SELECT DISTINCT word FROM words",
@@ -245,8 +312,8 @@ UNION SELECT unnest(regexp_extract_all({WRAPPED}, '{MIXED_RE}')) FROM ln""",
     "triples_from_tokens": _with(f"t AS (SELECT doc_id, {_toks('text')} AS p FROM documents)") + """
 SELECT doc_id, CAST(r AS BIGINT) AS rec, p[3 * r + 1] AS category, p[3 * r + 2] AS src, p[3 * r + 3] AS tgt
 FROM (SELECT doc_id, p, unnest(range(len(p) // 3)) AS r FROM t)""",
-    "repair_vectors": _with(V) + """SELECT word AS pos, CASE WHEN label % 4 = 0 THEN 'new_york' ELSE 'x' END AS word, round(vec[64], 6) AS last
-FROM v WHERE label % 4 IN (0, 2)""",
+    "repair_vectors": _with(V, """kept AS (SELECT word AS pos, CASE WHEN label % 4 = 0 THEN 'new_york' ELSE 'x' END AS word, vec
+FROM v WHERE label % 4 IN (0, 2))""") + _cells("kept", "pos, word"),
     "parse_params": """SELECT p_partkey, CASE WHEN ok THEN p_size END AS "window", CASE WHEN ok THEN lower(p_type) END AS norm,
   CASE WHEN ok THEN CAST(p_partkey AS INTEGER) END AS dim, CASE WHEN ok THEN lower(p_type) || ' (d=' || p_partkey || ')' END AS label
 FROM (SELECT *, p_size % 3 <> 2 AS ok FROM part)""",
@@ -285,6 +352,14 @@ FROM cooc""",
   SELECT row, col, round(greatest(0.0, ln(w * sum(w) OVER () / (sum(w) OVER (PARTITION BY row) * sum(w) OVER (PARTITION BY col)))), 6) AS ppmi FROM cooc)
 SELECT a.word AS word_a, b.word AS word_b, ppmi FROM (SELECT * FROM scored WHERE row < col ORDER BY ppmi DESC, row, col LIMIT 20)
 JOIN vocab a ON a.idx = row JOIN vocab b ON b.idx = col""",
+    "svd_leading": _with(*ENCODED, _cooc((2,)), *LEADING) + """SELECT CAST(idx AS INTEGER) AS idx, round(coalesce(x, 0) * (SELECT max(s) FROM lead WHERE r = 200), 3) AS x
+FROM vocab LEFT JOIN (SELECT i, x FROM lead WHERE r = 200) ON i = idx""",
+    "sweep_info": _with(*CORPUS, VOCAB) + f"""SELECT 'w' || w || '_' || m || '_d' || d AS key, w AS window_size, m AS normalization, d AS dimensions,
+  v AS original_rows, v AS original_columns, v AS embedding_rows, CAST(least(d, v) AS INTEGER) AS embedding_columns
+FROM (SELECT unnest([{', '.join(map(str, I.SWEEP_WINDOWS))}]) AS w), (SELECT unnest(['ppmi', 'tfidf', 'row_normalize']) AS m),
+  (SELECT unnest([{', '.join(map(str, I.SWEEP_DIMS))}]) AS d), (SELECT CAST(count(*) AS INTEGER) AS v FROM vocab)""",
+    "project_2d": _with(*CENTRED, *_axis(1), *_axis(2)) + """SELECT word, round(a.c * (SELECT sign(sum(c * c * c)) FROM at1), 6) AS x,
+  round(b.c * (SELECT sign(sum(c * c * c)) FROM at2), 6) AS y FROM at1 a JOIN at2 b USING (word)""",
     "merge_sweep_results": """SELECT coalesce(b.k, a.k) AS key, coalesce(b.n, a.n) AS n, coalesce(b.d, a.d) AS d
 FROM (SELECT p_brand AS k, count(*) AS n, max(p_size) AS d FROM part GROUP BY 1) a
 FULL JOIN (SELECT p_brand AS k, count(*) AS n, min(p_size) AS d FROM part WHERE p_size > 45 GROUP BY 1) b ON a.k = b.k""",
@@ -310,19 +385,21 @@ FROM pairs JOIN v a ON a.word = src JOIN v b ON b.word = tgt""",
   round(max(CASE WHEN a.word = b.word THEN {_cos('a.vec', 'o.vec')} END), 6) AS own_cos, count(*) AS n_targets, round(avg({_cos('a.vec', 'o.vec')}), 6) AS mean_cos
 FROM v a JOIN v b ON a.label = b.label JOIN o ON o.word = b.word GROUP BY a.label, a.word""",
     # alignment
-    "training_pairs": _with(V, O, NEXT) + "SELECT src, tgt, round(v.vec[1], 6) AS x0, round(o.vec[1], 6) AS y0 FROM pairs JOIN v ON v.word = src JOIN o ON o.word = tgt",
+    "training_pairs": _with(V, O, NEXT) + _cells("(SELECT src, tgt, list_concat(v.vec, o.vec) AS vec FROM pairs JOIN v ON v.word = src JOIN o ON o.word = tgt)", "src, tgt"),
     "required_words": _with(REQUIRED) + "SELECT word FROM req",
-    "filter_vocab": _with(V, REQUIRED) + """SELECT word, place, x0 FROM (
-  SELECT v.word, row_number() OVER (ORDER BY CASE WHEN r.word IS NULL THEN 1 ELSE 0 END, v.word DESC) - 1 AS place, round(vec[1], 6) AS x0
-  FROM v LEFT JOIN req r ON r.word = v.word) WHERE place < 200""",
+    "filter_vocab": _with(V, REQUIRED, """placed AS (
+  SELECT v.word, row_number() OVER (ORDER BY CASE WHEN r.word IS NULL THEN 1 ELSE 0 END, v.word DESC) - 1 AS place, vec
+  FROM v LEFT JOIN req r ON r.word = v.word)""") + _cells("(SELECT * FROM placed WHERE place < 200)", "word, place"),
     "procrustes": _with(V, O) + _cells("o"),
     "dim_check": _with(V) + "SELECT count(*) AS n, CAST(max(len(vec)) AS INTEGER) AS dim FROM v",
     "cca": "SELECT CAST(p AS INTEGER) AS p, (SELECT count(*) FROM embeddings) AS n, CAST(0 AS DOUBLE) AS mean, CAST(1 AS DOUBLE) AS variance FROM (SELECT unnest(range((SELECT max(len(embedding)) FROM embeddings))) AS p)",
     "pair_sample": _with(NEXT) + r"SELECT src, tgt FROM pairs ORDER BY md5('42' || chr(9) || src || chr(9) || tgt), src, tgt LIMIT 100",
-    "sinkhorn_plan": _sinkhorn(I.TRANSPORT_ROUNDS) + f"SELECT i AS pid, round(ln(u), 6) AS f, round(ln(v), 6) AS g FROM u{I.TRANSPORT_ROUNDS} JOIN v{I.TRANSPORT_ROUNDS} ON i = j",
-    "barycenter_targets": _sinkhorn(I.TRANSPORT_ROUNDS) + f"""SELECT i AS pid, CAST(p - 1 AS INTEGER) AS p, round(sum(n * u * k * v * y), 6) AS x
-FROM ker JOIN u{I.TRANSPORT_ROUNDS} USING (i) JOIN v{I.TRANSPORT_ROUNDS} USING (j)
-JOIN (SELECT pid AS j, unnest(y) AS y, generate_subscripts(y, 1) AS p FROM train) USING (j), cnt GROUP BY i, p""",
+    "sinkhorn_plan": _with(*SINKHORN) + "SELECT i AS pid, round(ln(u), 6) AS f, round(ln(v), 6) AS g FROM solved",
+    "barycenter_targets": _with(*SINKHORN) + "SELECT pid, CAST(p - 1 AS INTEGER) AS p, round(x, 6) AS x FROM bary",
+    "barycenter_align_next": _with(*SINKHORN, *POLAR) + """SELECT word, CAST(rot.j - 1 AS INTEGER) AS p, round(sum(c.x * rot.x), 6) AS x
+FROM (SELECT word, unnest(vec) AS x, generate_subscripts(vec, 1) AS i FROM v) c JOIN rot USING (i) GROUP BY word, rot.j""",
+    "cca_correlations": _with(*CCA) + """SELECT (SELECT count(*) FROM embeddings) AS pairs, (SELECT count(DISTINCT i) FROM cxx) AS n,
+  (SELECT round(sum(l.x * r.x), 6) FROM l JOIN r USING (i, j)) AS squares""",
     "barycenter_align": _with(V) + "SELECT word, CAST(i - 1 AS INTEGER) AS p, round(x, 4) AS x FROM (SELECT word, unnest(vec) AS x, generate_subscripts(vec, 1) AS i FROM v)",
     "self_learning_nearest": _with(V, O) + _cells("o"),
     # alignment evaluation
@@ -339,7 +416,9 @@ JOIN (SELECT pid AS j, unnest(y) AS y, generate_subscripts(y, 1) AS p FROM train
   SELECT src, tgt FROM pairs ORDER BY md5('42' || chr(9) || src || chr(9) || tgt), src, tgt LIMIT 200)
 WHERE src IN (SELECT vec_id FROM embeddings) AND tgt IN (SELECT vec_id FROM embeddings)""",
     # bias
-    "set_vectors": _with(V, SETS) + "SELECT set_name, word, round(vec[1] / sqrt(list_dot_product(vec, vec)), 6) AS x0 FROM found",
+    "set_vectors": _with(V, SETS) + _cells(
+        "(SELECT set_name, word, list_transform(vec, lambda x: x / sqrt(list_dot_product(vec, vec))) AS vec FROM found WHERE vec IS NOT NULL)", "set_name, word"
+    ) + " UNION ALL SELECT set_name, word, NULL, NULL FROM found WHERE vec IS NULL",
     "missing_words": _with(V, SETS) + "SELECT DISTINCT word FROM found WHERE vec IS NULL",
     "mean_association": _with(V, SETS, ASSOC) + "SELECT set_name, word, attribute, round(mean_cos, 6) AS mean_cos FROM assoc",
     "differential": _with(V, SETS, ASSOC) + "SELECT set_name, word, round(diff, 6) AS diff FROM diffs",
@@ -350,7 +429,7 @@ WHERE src IN (SELECT vec_id FROM embeddings) AND tgt IN (SELECT vec_id FROM embe
     "softmax_at_mask": _with(V, PROBS) + "SELECT role, token, round(prob, 6) AS prob FROM probs",
     "pair_bias": _with(V, PROBS) + """SELECT m.role, m.token AS male, f.token AS female, round(m.prob, 6) AS male_prob, round(f.prob, 6) AS female_prob,
   round(m.prob - f.prob, 6) AS difference, round(m.prob / f.prob, 6) AS ratio
-FROM probs m JOIN probs f ON m.role = f.role AND (m.token, f.token) IN (('t0', 't1'), ('t2', 't3'))""",
+FROM probs m JOIN probs f ON m.role = f.role AND CAST(m.token[2:] AS INTEGER) % 2 = 0 AND CAST(f.token[2:] AS INTEGER) = CAST(m.token[2:] AS INTEGER) + 1""",
     # metric tables
     "metrics_row": _with(V, QUESTIONS, ASKED, PREDICTED, SIL, GOLD, SCORED, RANKED) + """SELECT 10 AS "Window", 'ppmi' AS "Normalization",
   (SELECT CAST(max(len(vec)) AS INTEGER) FROM v) AS "Dimensions", round(avg(CASE WHEN predicted = d THEN 1.0 ELSE 0.0 END), 6) AS "Analogy-Accuracy",

@@ -32,6 +32,12 @@ def r6(name: str):
     return F.round(F.col(name), 6).alias(name)
 
 
+def _cells(df: DataFrame, *keys: str, vec: str = "vec") -> DataFrame:
+    """Every component of every vector as a row (keys.., p, x); the key is ``word`` if none is named."""
+    keys = keys or ("word",)
+    return df.select(*keys, F.posexplode(vec).alias("p", "x")).select(*keys, "p", r6("x"))
+
+
 # --- sources and sinks -------------------------------------------------------------------------------------------
 
 
@@ -49,7 +55,7 @@ def vectors_text_scan(spark: SparkSession, sf: str) -> DataFrame:
     rows = I.table(spark, sf, "embeddings")
     line = writers.vector_line(F.concat(F.lit("w"), F.col("label").cast("string")), VX.doubles(F.col("embedding")))
     parsed = readers.parse_vectors(rows.select(F.col("vec_id").alias("pos"), line.alias("value")))
-    return parsed.select("word", F.col("pos").alias("first_pos"), F.round(F.col("vec")[0], 6).alias("x0"), F.size("vec").alias("dim"))
+    return _cells(parsed.withColumnRenamed("pos", "first_pos"), "word", "first_pos")
 
 
 @query
@@ -58,7 +64,24 @@ def vectors_text_capped(spark: SparkSession, sf: str) -> DataFrame:
     rows = I.table(spark, sf, "embeddings")
     line = writers.vector_line(F.concat(F.lit("w"), F.col("label").cast("string")), VX.doubles(F.col("embedding")))
     parsed = readers.parse_vectors(rows.select(F.col("vec_id").alias("pos"), line.alias("value")), max_vocab=5)
-    return parsed.select("word", F.col("pos").alias("first_pos"), F.round(F.col("vec")[0], 6).alias("x0"))
+    return _cells(parsed.withColumnRenamed("pos", "first_pos"), "word", "first_pos")
+
+
+@query
+def vectors_text_header(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors written as text below a header line, which the reader is told of."""
+    path = scratch_path(spark, "vectors")
+    writers.vectors_text_sink(I.vectors(spark, sf), path, header=True)
+    back = readers.vectors_scan(spark, path, header=True)
+    return _cells(back.withColumn("word", F.col("word").cast("long")))
+
+
+@query
+def vectors_text_sniff(spark: SparkSession, sf: str) -> DataFrame:
+    """The same file, whose header line the reader detects."""
+    path = scratch_path(spark, "vectors")
+    writers.vectors_text_sink(I.vectors(spark, sf), path, header=True)
+    return _cells(readers.vectors_scan(spark, path).withColumn("word", F.col("word").cast("long")))
 
 
 @query
@@ -67,8 +90,7 @@ def vectors_text_sink(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "vectors")
     writers.vectors_text_sink(I.vectors(spark, sf), path)
     back = readers.vectors_scan(spark, path, header=False)
-    cells = back.select(F.col("word").cast("long").alias("word"), F.posexplode("vec").alias("p", "x"))
-    return cells.select("word", "p", r6("x"))
+    return _cells(back.withColumn("word", F.col("word").cast("long")))
 
 
 def _word_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -127,6 +149,14 @@ def analogy_scan(spark: SparkSession, sf: str) -> DataFrame:
     return readers.parse_analogies(_word_lines(spark, sf)).select("pos.doc_id", "pos.line", "a", "b", "c", "d")
 
 
+@query
+def analogy_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The same lines written to a file of questions and read back, counted."""
+    path = scratch_path(spark, "analogies")
+    I.lines(spark, sf).select("sentence").write.text(path)
+    return readers.analogy_scan(spark, path).groupBy("a", "b", "c", "d").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def concept_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Part lines (type, name, brand) whose name is among the widgets and whose brand among those that begin with 1."""
@@ -243,8 +273,7 @@ def script_filter(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def triples_from_tokens(spark: SparkSession, sf: str) -> DataFrame:
     docs = spread(I.table(spark, sf, "documents").select("doc_id", "text"))
-    words = C.token_rows(docs.select("doc_id", T.tokenize(F.col("text")).alias("toks")), keep=["doc_id"])
-    return M.triples_from_tokens(words.withColumnRenamed("word", "token"), ["doc_id"])
+    return M.triples_from_tokens(docs.select("doc_id", T.tokenize(F.col("text")).alias("toks")), ["doc_id"])
 
 
 @query
@@ -254,7 +283,7 @@ def repair_vectors(spark: SparkSession, sf: str) -> DataFrame:
     word = F.when(F.col("label") % 4 == 0, F.lit("new york")).when(F.col("label") % 4 == 1, F.lit("2007")).otherwise(F.lit("x"))
     kept = F.when(F.col("label") % 4 == 3, F.slice(vec, 1, 63)).otherwise(vec)
     rows = I.table(spark, sf, "embeddings").select(F.col("vec_id").alias("pos"), writers.vector_line(word, kept).alias("value"))
-    return readers.repair_vectors(rows, 64).select("pos", "word", F.round(F.col("vec")[63], 6).alias("last"))
+    return _cells(readers.repair_vectors(rows, 64), "pos", "word")
 
 
 @query
@@ -400,6 +429,13 @@ def svd_embed(spark: SparkSession, sf: str) -> DataFrame:
     return R.svd_embed(W.ppmi(cooc, n), n, 50)
 
 
+@query
+def svd_leading(spark: SparkSession, sf: str) -> DataFrame:
+    """The first column of U * S by PPMI at window 2, without its sign."""
+    _, cooc, n = C.build_matrices(I.lines(spark, sf), I.toks(), (2,), I.MIN_FREQ)
+    return R.svd_embed(W.ppmi(cooc, n), n, 10, power=1.0, tol=1e-6).select("idx", F.round(F.abs(F.col("vec")[0]), 3).alias("x"))
+
+
 @query
 def svd_embed_us(spark: SparkSession, sf: str) -> DataFrame:
     """Counts at window 5, fifty dimensions, U * S."""
@@ -407,11 +443,23 @@ def svd_embed_us(spark: SparkSession, sf: str) -> DataFrame:
     return R.svd_embed(cooc, n, 50, power=1.0)
 
 
+def _sweep(spark: SparkSession, sf: str) -> tuple[DataFrame, int]:
+    vocab, cooc, n = C.build_matrices(I.lines(spark, sf), I.toks(), I.SWEEP_WINDOWS, I.MIN_FREQ)
+    return R.sweep(cooc, vocab, n, I.SWEEP_WINDOWS, dims=I.SWEEP_DIMS), n
+
+
 @query
 def sweep(spark: SparkSession, sf: str) -> DataFrame:
     """Two windows, three weightings, two dimensions; one decomposition per window and weighting."""
-    vocab, cooc, n = C.build_matrices(I.lines(spark, sf), I.toks(), (2, 10), I.MIN_FREQ)
-    return R.sweep(cooc, vocab, n, (2, 10), dims=(10, 20))
+    return _sweep(spark, sf)[0]
+
+
+@query
+def sweep_info(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per configuration of the sweep."""
+    info = R.sweep_info(*_sweep(spark, sf))
+    shapes = [F.col(f"{s}_shape")[i].alias(f"{s}_{k}") for s in ("original", "embedding") for i, k in enumerate(("rows", "columns"))]
+    return info.select("key", "window_size", "normalization", "dimensions", *shapes)
 
 
 @query
@@ -425,7 +473,7 @@ def merge_sweep_results(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def project_2d(spark: SparkSession, sf: str) -> DataFrame:
-    return R.project_2d(I.vectors(spark, sf))
+    return _rounded(R.project_2d(I.vectors(spark, sf)))
 
 
 # --- similarity ----------------------------------------------------------------------------------------------------
@@ -507,14 +555,10 @@ def group_cosine(spark: SparkSession, sf: str) -> DataFrame:
 # --- alignment -----------------------------------------------------------------------------------------------------
 
 
-def _cells(df: DataFrame, key: str = "word", vec: str = "vec") -> DataFrame:
-    return df.select(key, F.posexplode(vec).alias("p", "x")).select(key, "p", r6("x"))
-
-
 @query
 def training_pairs(spark: SparkSession, sf: str) -> DataFrame:
     got = A.training_pairs(I.next_pairs(spark, sf), I.vectors(spark, sf), I.other_space(spark, sf))
-    return got.select("src", "tgt", F.round(F.col("x")[0], 6).alias("x0"), F.round(F.col("y")[0], 6).alias("y0"))
+    return _cells(got.withColumn("vec", F.concat("x", "y")), "src", "tgt")
 
 
 def _required(spark: SparkSession, sf: str) -> DataFrame:
@@ -531,7 +575,7 @@ def required_words(spark: SparkSession, sf: str) -> DataFrame:
 def filter_vocab(spark: SparkSession, sf: str) -> DataFrame:
     """Required words first, then the others from the highest id down, 200 in all."""
     v = I.vectors(spark, sf).withColumn("pos", -F.col("word"))
-    return A.filter_vocab(v, _required(spark, sf), 200).select("word", "place", F.round(F.col("vec")[0], 6).alias("x0"))
+    return _cells(A.filter_vocab(v, _required(spark, sf), 200), "word", "place")
 
 
 @query
@@ -556,6 +600,16 @@ def cca(spark: SparkSession, sf: str) -> DataFrame:
     return cells.groupBy("p").agg(F.count("x").alias("n"), F.abs(F.round(F.avg("x"), 6)).alias("mean"), F.round(F.var_samp("x"), 6).alias("variance"))
 
 
+@query
+def cca_correlations(spark: SparkSession, sf: str) -> DataFrame:
+    """Canonical correlations of every vector with its successor: how many, their sum of squares."""
+    v = I.vectors(spark, sf)
+    _, corr = A.align_cca(I.next_pairs(spark, sf), v, v)
+    return I.next_pairs(spark, sf).agg(
+        F.count(F.lit(1)).alias("pairs"), F.lit(len(corr)).cast("long").alias("n"), F.lit(round(float((corr**2).sum()), 6)).alias("squares")
+    )
+
+
 @query
 def pair_sample(spark: SparkSession, sf: str) -> DataFrame:
     return A.pair_sample(I.next_pairs(spark, sf), 100)
@@ -563,18 +617,18 @@ def pair_sample(spark: SparkSession, sf: str) -> DataFrame:
 
 def _plan(spark: SparkSession, sf: str) -> A.TransportPlan:
     train = A.training_pairs(I.next_pairs(spark, sf), I.vectors(spark, sf), I.vectors(spark, sf))
-    return A.TransportPlan(train.withColumnRenamed("src", "pid"), I.REG, I.TRANSPORT_ROUNDS, tol=0)
+    return A.TransportPlan(train.withColumnRenamed("src", "pid"), I.REG, tol=I.TRANSPORT_TOL)
 
 
 @query
 def sinkhorn_plan(spark: SparkSession, sf: str) -> DataFrame:
-    """Log potentials after a fixed number of rounds."""
+    """Log potentials, solved to tolerance."""
     return _plan(spark, sf).potentials().select("pid", r6("f"), r6("g"))
 
 
 @query
 def barycenter_targets(spark: SparkSession, sf: str) -> DataFrame:
-    return _cells(_plan(spark, sf).barycenters(), "pid", "ybar")
+    return _cells(_plan(spark, sf).barycenters(), "pid", vec="ybar")
 
 
 @query
@@ -585,6 +639,14 @@ def barycenter_align(spark: SparkSession, sf: str) -> DataFrame:
     return mapped.select("word", F.posexplode("vec").alias("p", "x")).select("word", "p", F.round("x", 4).alias("x"))
 
 
+@query
+def barycenter_align_next(spark: SparkSession, sf: str) -> DataFrame:
+    """Transport between two different sides, every word and its successor, solved to tolerance."""
+    v = I.vectors(spark, sf)
+    mapped, _ = A.align_transport(I.next_pairs(spark, sf), v, v, I.REG, tol=I.TRANSPORT_TOL)
+    return _cells(mapped)
+
+
 @query
 def self_learning(spark: SparkSession, sf: str) -> DataFrame:
     """Five rounds with five neighbours."""
@@ -659,7 +721,8 @@ def _found(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def set_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    return _found(spark, sf).select("set_name", "word", F.round(F.col("vec")[0], 6).alias("x0"))
+    cells = _found(spark, sf).select("set_name", "word", F.posexplode_outer("vec").alias("p", "x"))
+    return cells.select("set_name", "word", "p", r6("x"))
 
 
 @query
@@ -680,19 +743,19 @@ def differential(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def weat_effect(spark: SparkSession, sf: str) -> DataFrame:
     got = B.weat_effect(_found(spark, sf))
-    return _rounded(got.withColumn("missing", F.size("missing_words")).drop("missing_words"))
+    return _rounded(got.withColumn("missing", F.col("missing").cast("int")))
 
 
 @query
 def softmax_at_mask(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(B.softmax_at_mask(I.logits(spark, sf), ["t0", "t1", "t2", "t3"]))
+    return _rounded(B.softmax_at_mask(I.logits(spark, sf), I.MASK_TOKENS))
 
 
 @query
 def pair_bias(spark: SparkSession, sf: str) -> DataFrame:
-    probs = B.softmax_at_mask(I.logits(spark, sf), ["t0", "t1", "t2", "t3"])
-    pairs = spark.createDataFrame([("t0", "t1"), ("t2", "t3")], "male string, female string")
-    return _rounded(B.pair_bias(probs, pairs))
+    """Every even token against the next one."""
+    probs = B.softmax_at_mask(I.logits(spark, sf), I.MASK_TOKENS)
+    return _rounded(B.pair_bias(probs, list(zip(I.MASK_TOKENS[::2], I.MASK_TOKENS[1::2]))))
 
 
 # --- metric tables -------------------------------------------------------------------------------------------------
@@ -737,12 +800,7 @@ def metric_correlation(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def histograms(spark: SparkSession, sf: str) -> DataFrame:
-    parts = None
-    for name in ("Window", "Dimensions", "SimLex-Correlation", "WordSim-Correlation"):
-        part = M.histogram(I.metrics(spark, sf).withColumn(name, F.col(f"`{name}`").cast("double")), name)
-        part = part.select(F.lit(name).alias("metric"), "*")
-        parts = part if parts is None else parts.unionByName(part)
-    return _rounded(parts)
+    return _rounded(M.histograms(I.metrics(spark, sf), ("Window", "Dimensions", "SimLex-Correlation", "WordSim-Correlation")))
 
 
 @query

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexiloom.operators.common import vector_shape
+
 
 def table_sink(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists") -> None:
     """Parquet; partition columns (window, norm, dim) become folders that later filters skip."""
@@ -17,9 +19,13 @@ def vector_line(word: Column, vec: Column) -> Column:
     return F.concat_ws(" ", word.cast("string"), F.array_join(vec.cast("array<string>"), " "))
 
 
-def vectors_text_sink(vectors: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """``word v1 .. vd`` lines."""
-    vectors.select(vector_line(F.col("word"), F.col("vec")).alias("value")).write.mode(mode).text(path)
+def vectors_text_sink(vectors: DataFrame, path: str, mode: str = "errorifexists", header: bool = False) -> None:
+    """``word v1 .. vd`` lines; with ``header`` the first file starts with a line of row count and dimension."""
+    lines = vectors.select(vector_line(F.col("word"), F.col("vec")).alias("value"))
+    if header:
+        n, dim = vector_shape(vectors)
+        lines = vectors.sparkSession.createDataFrame([(f"{n} {dim}",)], "value string").coalesce(1).union(lines)
+    lines.write.mode(mode).text(path)
 
 
 def metrics_sink(table: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -48,6 +48,18 @@ def test_concept_scan_has_rows_and_drops_some(spark):
     assert 0 < n < spark.read.parquet(f"{SF}/part.parquet").count()
 
 
+def test_box_summary_interpolates_and_keeps_empty_groups(spark):
+    rows = [("a", float(x)) for x in (4, 1, 2, 3)] + [("b", 5.0), ("b", None), ("b", float("nan")), ("c", None), (None, 2.0), (None, 4.0)]
+    got = {r["g"]: tuple(r)[1:] for r in M.box_summary(spark.createDataFrame(rows, "g string, v double"), "g", "v").collect()}
+    assert got == {"a": (1, 1.75, 2.5, 3.25, 4), "b": (5,) * 5, "c": (None,) * 5, None: (2, 2.5, 3, 3.5, 4)}
+
+
+def test_histograms_and_pair_bias_read_their_table_in_few_scans(spark):
+    for name, table, most in (("histograms", "documents", 2), ("pair_bias", "embeddings", 1)):
+        df = entry.queries()[name](spark, SF)
+        assert 0 < _plan(df).count("FileScan parquet") <= 2 * most, name
+
+
 def test_flagship_has_rows(spark):
     assert entry.entry(spark).count() == 20
 
@@ -56,7 +68,7 @@ def test_registry_and_oracles_agree():
     names = {n for n in entry.queries() if n not in entry.LLM_QUERIES}
     assert set(entry.oracle_sql()) <= names | set(entry.LLM_QUERIES)
     assert {n for n in names if n not in entry.oracle_sql()} == {
-        "svd_embed", "svd_embed_us", "sweep", "project_2d", "kmeans", "self_learning",
+        "svd_embed", "svd_embed_us", "sweep", "kmeans", "self_learning",
     }
 
 

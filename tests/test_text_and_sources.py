@@ -113,7 +113,7 @@ def test_partitioned_sink_prunes(spark, tmp_path):
 
 
 def test_triples_drop_the_tail(spark):
-    toks = spark.createDataFrame([(1, i, t) for i, t in enumerate("numbers ek one colors lal red tail".split())], "g int, pos int, token string")
+    toks = spark.createDataFrame([(1, "numbers ek one colors lal red tail".split()), (2, ["a", "b"]), (3, []), (4, None)], "g int, toks array<string>")
     got = M.triples_from_tokens(toks, ["g"])
     assert {(r["category"], r["src"], r["tgt"]) for r in got.collect()} == {("numbers", "ek", "one"), ("colors", "lal", "red")}
 

@@ -36,7 +36,7 @@ def test_svd_equals_dense_svd(spark):
     assert got.shape == (150, 8)
     assert np.allclose(np.linalg.norm(got, axis=0), s[:8], rtol=1e-3)
     cos = np.abs((got / np.linalg.norm(got, axis=0) * u[:, :8]).sum(axis=0))
-    assert cos.min() > 0.98
+    assert cos.min() > 0.995
 
 
 def test_sweep_slices_are_nested(spark):
@@ -216,7 +216,7 @@ def test_weat(spark):
     u = m / np.linalg.norm(m, axis=1, keepdims=True)
     diff = (u[:4] @ u[4:6].T).mean(1) - (u[:4] @ u[6:].T).mean(1)
     assert math.isclose(row["effect_size"], (diff[:2].mean() - diff[2:].mean()) / diff.std(ddof=1))
-    assert row["missing_words"] == [77] and row["sample_size"] == 4
+    assert row["missing"] == 1 and row["sample_size"] == 4
     same = table(spark, np.ones((8, 4)))
     assert B.weat_effect(B.set_vectors(sets, same)).first()["effect_size"] is None
 
@@ -225,8 +225,7 @@ def test_pair_bias_over_zero(spark):
     logits = spark.createDataFrame([("r", "he", 1.0), ("r", "she", -2000.0), ("r", "x", 1000.0)], "role string, token string, logit double")
     probs = B.softmax_at_mask(logits, ["he", "she", "x"])
     assert math.isclose(probs.agg(F.sum("prob")).first()[0], 1)
-    pairs = spark.createDataFrame([("x", "she")], "male string, female string")
-    row = B.pair_bias(probs, pairs).first()
+    row = B.pair_bias(probs, [("x", "she"), ("x", "unknown")]).first()
     assert row["ratio"] == float("inf") and row["difference"] == row["male_prob"]
 
 
