@@ -3,13 +3,15 @@
 Every vector keeps a list of its nearest known neighbours. Lists start from vectors that sort together by random hyperplane
 codes, and are refined by joining the neighbours of a vector with each other. A list that holds nothing but links is
 saturated: it would have to grow. Its vector's component is then compared as a whole, block by block, so the longer list
-exists only as sums inside a task. A sample audits the recall; while that is short, further codes and rounds follow.
+exists only as sums inside a task. Samples audit the recall, each vector alike; while that is short, further codes and rounds
+follow, and all pairs are compared once further codes would compare as many.
 """
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Iterator
+from itertools import count
+from math import ceil, log2
 
 import numpy as np
 import pandas as pd
@@ -23,10 +25,10 @@ from lexiloom.session import cut, discard
 
 THRESHOLD = 0.9
 NEIGHBOURS = 8  # in a list; as many reverse neighbours join in
-TABLES = 8  # orders by random codes
+TABLES = 8  # orders by random codes, or log2 of the vectors if that is more
 RUN = 64  # vectors that are compared in an order
-SETTLED = 0.002  # a round that adds a smaller share of links is the last
-AUDIT, RECALL, AUDITS = 1024, 0.99, 4
+SETTLED = 0.002  # a round that brings a link to a smaller share of the linked vectors is the last
+AUDIT, RECALL = 4096, 0.99
 SLACK = 1e-4  # single precision finds what double precision then decides
 BLOCK, PARTS, MOST = 256, 64, 8192  # vectors in a block: BLOCK, more once that makes over PARTS blocks, MOST at most
 EDGE = "node long, nbr long, sim float"
@@ -56,7 +58,7 @@ def codes(nodes: DataFrame, dim: int, seed: int, tables: int = TABLES) -> DataFr
     return nodes.select("node", "vec").mapInPandas(run, "t int, code long, node long, v binary").withColumn("mix", F.xxhash64("node"))
 
 
-def first_lists(nodes: DataFrame, dim: int, threshold: float, k: int, seed: int) -> DataFrame:
+def first_lists(nodes: DataFrame, dim: int, threshold: float, k: int, seed: int, tables: int = TABLES) -> DataFrame:
     """Edges (node, nbr, sim, extra): the ``k`` nearest in each run of RUN vectors that are consecutive by code, and one more
     link (extra) to the first linked vector of the run, which ties dense groups together. Equal codes are ordered by hash,
     so a crowd of them is spread over runs and tasks."""
@@ -91,7 +93,7 @@ def first_lists(nodes: DataFrame, dim: int, threshold: float, k: int, seed: int)
                 "sim": np.concatenate([s[i, j][ok], s[a, b]]), "extra": np.concatenate([np.zeros(ok.sum(), bool), np.ones(len(a), bool)]),
             })
 
-    ordered = codes(nodes, dim, seed).repartitionByRange("t", "code", "mix").sortWithinPartitions("t", "code", "mix")
+    ordered = codes(nodes, dim, seed, tables).repartitionByRange("t", "code", "mix").sortWithinPartitions("t", "code", "mix")
     return ordered.select("node", "v").mapInPandas(run, EDGE + ", extra boolean")
 
 
@@ -145,19 +147,21 @@ def refined(nodes: DataFrame, lists: DataFrame, threshold: float, k: int) -> Dat
     return groups.mapInPandas(run, EDGE)
 
 
-def n_links(lists: DataFrame, threshold: float) -> tuple[int, int]:
-    """Entries at or above the threshold, and how many of them are new."""
-    got = lists.where(F.col("sim") >= threshold - SLACK).agg(F.count(F.lit(1)).alias("n"), F.count_if("new").alias("new")).first()
+def n_linked(lists: DataFrame, threshold: float, k: int) -> tuple[int, int]:
+    """Vectors with a link whose list is not saturated, and how many of them have a new link."""
+    link = F.col("sim") >= threshold - SLACK
+    state = lists.groupBy("node").agg(F.count_if(link).alias("links"), F.max(link & F.col("new")).alias("fresh"))
+    got = state.where((F.col("links") > 0) & (F.col("links") < k)).agg(F.count(F.lit(1)).alias("n"), F.count_if("fresh").alias("new")).first()
     return got["n"], got["new"]
 
 
 def descend(nodes: DataFrame, lists: DataFrame, threshold: float, k: int) -> DataFrame:
-    """Rounds of neighbours-of-neighbours joins until they add hardly a link."""
+    """Rounds of neighbours-of-neighbours joins until hardly a vector outside saturated groups gets a link."""
     while True:
         better = merged(lists, refined(nodes, lists, threshold, k), k)
         discard(lists)
         lists = better
-        n, new = n_links(lists, threshold)
+        n, new = n_linked(lists, threshold, k)
         if new <= SETTLED * n:
             return lists
 
@@ -196,26 +200,85 @@ def block_counts(members: DataFrame, threshold: float) -> DataFrame:
     return cells.groupBy("part", "i", "j").applyInPandas(run, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
 
 
-def counted(nodes: DataFrame, links: DataFrame, lists: DataFrame, threshold: float, k: int) -> DataFrame:
-    """(node, part, links): component and linked weight of every node that has a link."""
+def bridges(placed: DataFrame, asked: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): parts that links tie together, of ``placed`` (node, part, vec), a written table.
+
+    Every vector of ``asked`` (node) is compared with all vectors of other parts. Both sides are dealt to blocks by hash, and
+    every two blocks meet in one task, which returns a forest of the parts in it.
+    """
+    n, wanted = placed.count(), asked.count()
+    across, down = max(1, ceil(wanted / MOST)), max(min(PARTS, ceil(n / BLOCK)), ceil(n / MOST))
+
+    def dealt(count: int, salt: int):
+        return F.pmod(F.xxhash64(F.lit(salt), "node"), F.lit(count)).cast("int")
+
+    def each(count: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
+    left = placed.join(asked.select("node"), "node", "left_semi").select(dealt(across, 5).alias("i"), each(down).alias("j"), F.lit(True).alias("asks"), "part", "vec")
+    right = placed.select(each(across).alias("i"), dealt(down, 6).alias("j"), F.lit(False).alias("asks"), "part", "vec")
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        asks, root, out = rows["asks"].to_numpy(), {}, []
+
+        def top(x: int) -> int:
+            while (up := root.get(x, x)) != x:
+                root[x] = x = root.get(up, up)
+            return x
+
+        if asks.any() and not asks.all():
+            x, y = np.stack(rows["vec"][asks]), np.stack(rows["vec"][~asks])
+            (p, at), (q, to) = (np.unique(rows["part"][side].to_numpy(), return_inverse=True) for side in (asks, ~asks))
+            for lo in range(0, len(x), 512):
+                i, j = np.nonzero(x[lo : lo + 512] @ y.T >= threshold)
+                met = np.unique(at[lo + i] * len(q) + to[j])
+                for a, b in zip(p[met // len(q)].tolist(), q[met % len(q)].tolist()):
+                    a, b = top(a), top(b)
+                    if a != b:
+                        root[max(a, b)] = min(a, b)
+                        out.append((a, b))
+        return pd.DataFrame(np.array(out, np.int64).reshape(-1, 2), columns=["a", "b"])
+
+    return left.union(right).groupBy("i", "j").applyInPandas(run, "a long, b long")
+
+
+def counted(nodes: DataFrame, links: DataFrame, lists: DataFrame, threshold: float, k: int, every: bool = False) -> DataFrame:
+    """(node, part, links, dense): component and linked weight of every node that has a link; dense: its component was compared
+    as a whole. ``every``: all pairs of vectors are compared, whatever is in the lists."""
     parts = cut(components(links).select("node", F.col("component").alias("part")))
     ends = links.select(F.col("a").alias("node"), F.col("b").alias("nbr")).union(links.select(F.col("b").alias("node"), F.col("a").alias("nbr")))
     full = lists.where(F.col("sim") >= threshold - SLACK).groupBy("node").count().where(F.col("count") >= k)  # saturated
+    if every:
+        full = nodes.select("node")
+        parts = tied(nodes, parts, full, threshold)
     whole = cut(parts.join(full, "node", "left_semi").select("part").distinct())
     sizes = parts.join(whole, "part", "left_semi").groupBy("part").agg(F.count(F.lit(1)).alias("size"))
     members = parts.join(sizes, "part").join(nodes.select("node", "m", "vec"), "node")
-    dense = block_counts(members, threshold)
+    dense = block_counts(members, threshold).withColumn("dense", F.lit(True))
     sparse = ends.join(nodes.select(F.col("node").alias("nbr"), "m"), "nbr").groupBy("node").agg(F.sum("m").alias("links"))
-    sparse = sparse.join(parts.join(whole, "part", "left_anti"), "node", "left_semi")
+    sparse = sparse.join(parts.join(whole, "part", "left_anti"), "node", "left_semi").withColumn("dense", F.lit(False))
     return parts.join(dense.union(sparse), "node")
 
 
+def tied(nodes: DataFrame, parts: DataFrame, asked: DataFrame, threshold: float) -> DataFrame:
+    """``parts`` (node, part) after every vector of ``asked`` (node) has met those of other parts, and the unlinked ones."""
+    placed = cut(nodes.join(parts, "node", "left").select("node", F.coalesce("part", "node").alias("part"), F.col("part").isNotNull().alias("linked"), "vec"))
+    ties = cut(bridges(placed, asked, threshold))
+    if ties.isEmpty():
+        return parts
+    merge = components(ties).select(F.col("node").alias("part"), F.col("component").alias("into"))
+    moved = placed.drop("vec").join(merge, "part", "left").where(F.col("linked") | F.col("into").isNotNull())
+    return cut(moved.select("node", F.coalesce("into", "part").alias("part")))
+
+
 def audit(nodes: DataFrame, n: int, found: DataFrame, threshold: float, most: int = AUDIT) -> float:
-    """Share of the links of about ``most`` vectors, picked by hash, that are among ``found`` (node, links)."""
-    picked = nodes.select("node", "vec")
-    if n > most:
-        picked = picked.where(F.pmod(F.xxhash64("node", F.lit(17)), F.lit(1 << 30)) < int((1 << 30) * most / n))
-    rows = picked.toPandas()
+    """The share of its links that a vector has among ``found`` (node, links, dense), on the mean over linked vectors, each
+    alike. Components compared as a whole and all other vectors are sampled apart, about ``most`` vectors of each picked by
+    hash, and the lower share counts, so that neither hides what the other misses."""
+    held = found.where("dense").count()
+    rate = F.when(F.col("dense"), most / max(held, 1)).otherwise(most / max(n - held, 1))
+    every = nodes.join(found.select("node", "dense"), "node", "left").withColumn("dense", F.coalesce("dense", F.lit(False)))
+    rows = every.where(F.pmod(F.xxhash64("node", F.lit(17)), F.lit(1 << 30)) < rate * (1 << 30)).select("node", "vec").toPandas()
     if not len(rows):
         return 1.0
     ids, q = rows["node"].to_numpy(), np.stack(rows["vec"])
@@ -223,16 +286,17 @@ def audit(nodes: DataFrame, n: int, found: DataFrame, threshold: float, most: in
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(len(ids), np.int64)
         for batch in batches:
-            for lo in range(0, len(batch), 4096):
-                part = batch.iloc[lo : lo + 4096]
+            for lo in range(0, len(batch), 512):
+                part = batch.iloc[lo : lo + 512]
                 near = np.stack(part["vec"]) @ q.T >= threshold
                 near &= part["node"].to_numpy()[:, None] != ids[None, :]
                 total += part["m"].to_numpy() @ near
         yield pd.DataFrame({"node": ids[total > 0], "links": total[total > 0]})
 
     true = nodes.select("node", "m", "vec").mapInPandas(run, "node long, links long").groupBy("node").agg(F.sum("links").alias("want"))
-    got = true.join(found.select("node", "links"), "node", "left").agg(F.sum("want").alias("want"), F.sum(F.least("want", F.coalesce("links", F.lit(0)))).alias("got")).first()
-    return got["got"] / got["want"] if got["want"] else 1.0
+    each = true.join(found.select("node", "links", "dense"), "node", "left").withColumn("got", F.least("want", F.coalesce("links", F.lit(0))))
+    shares = each.groupBy(F.coalesce("dense", F.lit(False)).alias("dense")).agg(F.avg(F.col("got") / F.col("want")).alias("share")).collect()
+    return min((r["share"] for r in shares), default=1.0)
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, k: int = NEIGHBOURS, seed: int = 3) -> DataFrame:
@@ -242,7 +306,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, k: int = N
     ``component_id`` the smallest vec_id reachable by links. Null, empty and zero vectors and those with null or non-finite
     components link with nothing. Equal vectors are one node of the graph, so copies are never paired; repeated rows are
     copies of each other. A null vec_id is never the smallest unless all are null. An empty table stays empty. Vectors that
-    take part must have one dimension. A warning tells when the audited recall stays below RECALL.
+    take part must have one dimension. Further codes follow until the audited recall reaches RECALL.
     """
     rows = cut(vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("vec")).withColumn("ok", usable("vec")).withColumn(
         "k1", F.xxhash64("vec")).withColumn("k2", F.xxhash64(F.lit(1), "vec")))
@@ -256,18 +320,18 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, k: int = N
     found = None
     if seen["n"] and seen["n"] > 1:
         lists = extras = None
-        for attempt in range(AUDITS):
-            start = cut(first_lists(nodes, seen["hi"], threshold, k, seed + attempt))
-            lists = descend(nodes, merged(lists, start.where("not extra"), k), threshold, k)
-            more = start.where("extra").select("node", "nbr", "sim")
-            extras = more if extras is None else extras.union(more)
-            links = cut(verified(nodes, lists.select("node", "nbr", "sim").union(extras), threshold))
-            found = cut(counted(nodes, links, lists, threshold, k))
-            share = audit(nodes, seen["n"], found, threshold)
-            if share >= RECALL:
+        tables = max(TABLES, ceil(log2(seen["n"])))
+        for attempt in count():
+            every = attempt > 0 and attempt * tables * RUN >= seen["n"]  # further orders would compare as much as all pairs do
+            if not every:
+                start = cut(first_lists(nodes, seen["hi"], threshold, k, seed + attempt, tables))
+                lists = descend(nodes, merged(lists, start.where("not extra"), k), threshold, k)
+                more = start.where("extra").select("node", "nbr", "sim")
+                extras = more if extras is None else extras.union(more)
+                links = cut(verified(nodes, lists.select("node", "nbr", "sim").union(extras), threshold))
+            found = cut(counted(nodes, links, lists, threshold, k, every))
+            if every or audit(nodes, seen["n"], found, threshold) >= RECALL:
                 break
-        else:
-            warnings.warn(f"audited recall of links {share:.3f} after {AUDITS} attempts", stacklevel=2)
     if found is None:
         found = nodes.select("node", F.col("node").alias("part"), F.lit(0).cast("long").alias("links"))
     linked = nodes.select("node", "k1", "k2", "first", "m").join(found, "node", "left").withColumn("part", F.coalesce("part", "node"))

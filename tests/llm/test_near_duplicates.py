@@ -75,6 +75,32 @@ def test_block_counts_over_several_blocks(spark, monkeypatch, vectors):
     assert {r["node"]: r["links"] for r in nndescent.block_counts(members, 0.3).collect()} == dict(enumerate(want.tolist()))
 
 
+def test_audit_sees_missed_pairs_beside_a_crowd(spark):
+    rng = np.random.default_rng(5)
+    x = [rng.normal(size=24) for _ in range(20)]
+    x += [v + rng.normal(scale=0.05, size=24) for v in x]  # 20 pairs
+    x += [x[0] * 0 + 1 + rng.normal(scale=0.05, size=24) for _ in range(150)]
+    u = np.stack(x) / np.linalg.norm(x, axis=1)[:, None]
+    near = u @ u.T >= 0.9
+    np.fill_diagonal(near, False)
+    nodes = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(u)], "node long, m long, vec array<double>")
+    rows = [(i, 40, int(near[i].sum()), i >= 40) for i in range(len(u))]
+    crowd, all_ = (spark.createDataFrame(r, "node long, part long, links long, dense boolean") for r in (rows[40:], rows))
+    assert nndescent.audit(nodes, len(u), crowd, 0.9) == 0 and nndescent.audit(nodes, len(u), all_, 0.9) == 1
+
+
+def test_goes_on_until_the_recall_is_met(spark, monkeypatch, vectors):
+    table, x = vectors
+    first = nndescent.first_lists
+    monkeypatch.setattr(nndescent, "first_lists", lambda nodes, *a: first(nodes.where(F.element_at("vec", 1) > 0.1), *a))  # codes that never see the others
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    near = u @ u.T >= 0.9
+    np.fill_diagonal(near, False)
+    want = classes(len(x), zip(*np.nonzero(near)))
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in nndescent.near_duplicates(table).collect()}
+    assert all(got[i] == (near[i].sum(), want[i]) for i in range(len(x)))
+
+
 def test_embedding_odd_tables(spark):
     schema = "vec_id long, embedding array<float>"
     assert nndescent.near_duplicates(spark.createDataFrame([], schema)).count() == 0
