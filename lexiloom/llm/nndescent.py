@@ -2,8 +2,8 @@
 
 Every vector keeps a list of its nearest known neighbours. Lists start from vectors that sort together by random hyperplane
 codes, and are refined by joining the neighbours of a vector with each other. A list that holds nothing but links is
-saturated: it would have to grow. Its vector's component is then compared as a whole, block by block, so the longer list
-exists only as sums inside a task. Samples audit the recall, each vector alike; while that is short, further codes and rounds
+saturated: it would have to grow. Its vector is then compared with all vectors of other components, which joins those it links
+to, and its component is compared as a whole, both block by block, so the longer list exists only as sums inside a task. Samples audit the recall, each vector alike; while that is short, further codes and rounds
 follow, and all pairs are compared once further codes would compare as many.
 """
 
@@ -248,9 +248,8 @@ def counted(nodes: DataFrame, links: DataFrame, lists: DataFrame, threshold: flo
     parts = cut(components(links).select("node", F.col("component").alias("part")))
     ends = links.select(F.col("a").alias("node"), F.col("b").alias("nbr")).union(links.select(F.col("b").alias("node"), F.col("a").alias("nbr")))
     full = lists.where(F.col("sim") >= threshold - SLACK).groupBy("node").count().where(F.col("count") >= k)  # saturated
-    if every:
-        full = nodes.select("node")
-        parts = tied(nodes, parts, full, threshold)
+    full = nodes.select("node") if every else cut(full.select("node"))
+    parts = tied(nodes, parts, full, threshold)  # the own component may have filled a list before a link that leaves it
     whole = cut(parts.join(full, "node", "left_semi").select("part").distinct())
     sizes = parts.join(whole, "part", "left_semi").groupBy("part").agg(F.count(F.lit(1)).alias("size"))
     members = parts.join(sizes, "part").join(nodes.select("node", "m", "vec"), "node")
@@ -262,6 +261,8 @@ def counted(nodes: DataFrame, links: DataFrame, lists: DataFrame, threshold: flo
 
 def tied(nodes: DataFrame, parts: DataFrame, asked: DataFrame, threshold: float) -> DataFrame:
     """``parts`` (node, part) after every vector of ``asked`` (node) has met those of other parts, and the unlinked ones."""
+    if asked.isEmpty():
+        return parts
     placed = cut(nodes.join(parts, "node", "left").select("node", F.coalesce("part", "node").alias("part"), F.col("part").isNotNull().alias("linked"), "vec"))
     ties = cut(bridges(placed, asked, threshold))
     if ties.isEmpty():

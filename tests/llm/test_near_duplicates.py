@@ -75,6 +75,27 @@ def test_block_counts_over_several_blocks(spark, monkeypatch, vectors):
     assert {r["node"]: r["links"] for r in nndescent.block_counts(members, 0.3).collect()} == dict(enumerate(want.tolist()))
 
 
+def test_saturated_lists_do_not_hide_links_that_leave_the_component(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(scale=0.02, size=(41, 24))
+    x[:20, 0] += 1
+    x[20:40, :2] += np.cos(0.48), np.sin(0.48)  # beside the first twenty, with cosines about 0.9
+    x[40, 5] += 1
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    cosine = u @ u.T
+    near = cosine >= 0.88
+    np.fill_diagonal(near, False)
+    across = near[:20, 20:40].sum()
+    assert 0 < across < 400 and not near[40].any()
+    nodes = cut(spark.createDataFrame([(i, i % 2 + 1, v.tolist()) for i, v in enumerate(u)], "node long, m long, vec array<double>"))
+    own = [(i, j, float(cosine[i, j])) for i in range(40) for j in range(40) if i != j and i // 20 == j // 20]
+    own = [e for i in range(40) for e in sorted((e for e in own if e[0] == i), key=lambda e: -e[2])[:8]]
+    lists = spark.createDataFrame([(*e, False) for e in own], "node long, nbr long, sim float, new boolean")
+    links = cut(spark.createDataFrame(sorted({(min(i, j), max(i, j)) for i, j, _ in own}), "a long, b long"))
+    got = {r["node"]: (r["part"], r["links"]) for r in nndescent.counted(nodes, links, lists, 0.88, 8).collect()}
+    assert got == {i: (0, near[i] @ (np.arange(41) % 2 + 1)) for i in range(40)}
+
+
 def test_audit_sees_missed_pairs_beside_a_crowd(spark):
     rng = np.random.default_rng(5)
     x = [rng.normal(size=24) for _ in range(20)]
