@@ -91,22 +91,46 @@ def cuts(groups: DataFrame, shards: int) -> tuple[list[int], int]:
     return [at[s] for s in starts if s in at], high
 
 
+def above_share(groups: DataFrame, shards: int) -> list[tuple[int, int]]:
+    """(size, key) of the groups, largest first, that exceed an equal share of what the larger ones leave; fewer than ``shards``."""
+    left = groups.agg(F.sum("size").alias("s")).first()["s"] or 0
+    found: list[tuple[int, int]] = []
+    while True:
+        big = groups.where((F.col("size") * (shards - len(found)) > left) & ~F.col("key").isin([k for _, k in found]))
+        more = [(r["size"], r["key"]) for r in big.collect()]
+        if not more:
+            return sorted(found, reverse=True)
+        found += more
+        left -= sum(s for s, _ in more)
+
+
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Deal ``docs`` (doc_id, text) to ``shards`` shards of near equal size: doc_id, size, text_crc32, shard, slot.
 
     Size is the bytes of the text and ROW_BYTES; equal texts form an atomic group; the order is that of a hash of the text.
-    Shards are contiguous in it and the largest one is as small as any such partition allows, so a group larger than a
-    shard's share stands alone or nearly. A null text counts as empty and goes with the empty ones; repeated rows are rows of
+    The largest shard is at most as large as in the best partition that is contiguous in it. A group above an equal share of
+    the bytes gets one of the last shards for itself, and the others are contiguous among the rest, so that these are near
+    equal too; only where that would make the largest shard larger, the group stays in its place. A null text counts as empty and goes with the empty ones; repeated rows are rows of
     their own; other columns are ignored; an empty table stays empty, and fewer groups than shards leave the last ones empty.
     ``slot`` numbers a shard's rows without gaps, in an order mixed by hash.
     """
     table = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).select(
         "doc_id", (F.octet_length("text") + ROW_BYTES).cast("long").alias("size"), F.crc32("text").alias("text_crc32"), F.xxhash64("text").alias("key")
     ))
-    starts, _ = cuts(cut(table.groupBy("key").agg(F.sum("size").alias("size"))), shards)
+    groups = cut(table.groupBy("key").agg(F.sum("size").alias("size")))
+    starts, most = cuts(groups, shards)
+    apart = above_share(groups, shards)
+    while apart:
+        rest, largest = cuts(groups.where(~F.col("key").isin([k for _, k in apart])), shards - len(apart))
+        if largest <= most:
+            starts = rest
+            break
+        apart.pop()
     number = F.lit(0)
     for k in starts:  # shards - 1 at most
         number = number + (F.col("key") >= k).cast("int")
+    for i, (_, k) in enumerate(apart):
+        number = F.when(F.col("key") == k, shards - len(apart) + i).otherwise(number)
     dealt = table.withColumn("shard", number)
     order = F.struct(F.xxhash64("key", "doc_id").alias("h"), "key", "doc_id")
     return running(dealt, ["shard"], order, F.lit(1), "slot", table.count()).select("doc_id", "size", "text_crc32", "shard", "slot")

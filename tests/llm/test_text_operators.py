@@ -218,6 +218,19 @@ def test_shards_are_minimax(spark):
         assert sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(sum(r["shard"] == s for r in rows)))
 
 
+def test_shards_beside_a_hot_text_are_near_equal(spark):
+    rng = random.Random(3)
+    texts = ["hot text " * 10] * 3000 + [f"{i} " + "x" * rng.randint(50, 150) for i in range(4000)]
+    rows = sharding.shard(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    total = Counter()
+    for r in rows:
+        total[r["shard"]] += r["size"]
+    hot = {r["shard"] for r in rows if r["doc_id"] < 3000}
+    assert len(rows) == len(texts) and len(hot) == 1 and total[hot.pop()] == max(total.values()) == 3000 * (90 + 16)
+    rest = sorted(total.values())[:-1]
+    assert len(rest) == sharding.SHARDS - 1 and rest[-1] < 1.05 * sum(rest) / len(rest) and rest[0] > 0.5 * rest[-1]
+
+
 def test_shards_of_odd_tables(odd, none):
     rows = sharding.shard(odd, 3).collect()
     assert len(rows) == len(ROWS) and sum(r["size"] == 16 for r in rows) == 2
