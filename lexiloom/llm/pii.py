@@ -115,18 +115,28 @@ PLUS = re.compile(r"(?<![^\W_])plus\s{1,2}(?=[0-9])", re.I)
 DASH = re.compile(r"(?<=[0-9])\s{1,2}(?:dash|hyphen|minus)\s{1,2}(?=[0-9])", re.I)
 #: Spelled digits beside a disguised dot or plus may be one or two.
 BESIDE = re.compile(rf"(?:(?<=dot )|(?<=plus )){_WORD}(?:[ -]{_WORD})*+(?![^\W_])|(?<![^\W_]){_WORD}(?:[ -]{_WORD})*+(?= dot )", re.I)
-_LITERAL = ("dot", "&#", "&commat;", "&period;", "%40", "arroba", " @ ", "_at_", "-at-", "plus ")
+_LITERAL = ("dot", "&#", "&commat;", "&period;", "%40", "arroba", " @ ")
 _MARKED = re.compile(rf"{_OPEN}(?:at|a|@|punkt|punto|point|\.){_SHUT}".removeprefix(r"\s{0,2}"))
+_SIGNED = re.compile(r"[_-]at[_-]|plus\s|[0-9]\s{1,2}(?:dash|hyphen|minus)\s")
 _SPACED = re.compile(r"\sat\s{1,3}[a-z0-9-]++\.|\s@\s")
 _DIGIT = re.compile(rf"(?<![^\W_]){_WORD}[ -]{_WORD}[ -]{_WORD}(?![^\W_])")
 _DIGIT_FIRST = re.compile(rf"[ -]{_WORD}[ -]")
 
 
+#: Other characters that patterns without regard to case take for ASCII letters.
+FOLD = str.maketrans("ſıİ\u212a", "siik")
+
+
+def lower(text: str) -> str:
+    """Lower case as the patterns see it."""
+    return (text if text.isascii() else text.translate(FOLD)).lower()
+
+
 def hinted(text: str) -> bool:
-    """Whether the word transducers can have anything to do."""
-    low = text.lower()
+    """Whether the word transducers can have anything to do: true whenever a rule of CHAIN changes the text."""
+    low = lower(text)
     return (
-        any(x in low for x in _LITERAL) or bool(_MARKED.search(low)) or bool(_SPACED.search(low))
+        any(x in low for x in _LITERAL) or bool(_MARKED.search(low)) or bool(_SIGNED.search(low)) or bool(_SPACED.search(low))
         or bool(_DIGIT_FIRST.search(low) and _DIGIT.search(low))
     )
 
@@ -191,7 +201,7 @@ class Rewritten:
 
 
 def spelled(run: str) -> str:
-    return "".join(DIGIT_OF[w] for w in re.split("[ -]", run.lower()))
+    return "".join(DIGIT_OF[w] for w in re.split("[ -]", lower(run)))
 
 
 #: The transducers that work on words, in order.

@@ -180,6 +180,27 @@ def test_disguised_spans(text, kind, part):
     assert not plain and [(k, text[a:z]) for k, a, z in every] == [(kind, part)]
 
 
+@pytest.mark.parametrize(("text", "kind", "part"), [
+    ("pay 4111 dash 1111 dash 1111 dash 1111", "card", "4111 dash 1111 dash 1111 dash 1111"),
+    ("call +49 30 dash 1234567 ok", "phone", "+49 30 dash 1234567"), ("call plus\t49 30 1234567 ok", "phone", "plus\t49 30 1234567"),
+    ("write joe_at-example.com now", "email", "joe_at-example.com"), ("pay 4111 Minus 1111 hyphen 1111 1111", "card", "4111 Minus 1111 hyphen 1111 1111"),
+])
+def test_disguised_signs(text, kind, part):
+    assert (kind, part) in [(k, text[a:z]) for k, a, z in pii.scan(text)[1]]
+
+
+def test_hints_cover_every_rule():
+    rng = random.Random(9)
+    words = "one ſix SIX FÜNF fİve dot plus at dash hyphen minus arroba punkt [at] (a) {.} <dot> &#64; &#46; &period; &commat; %40 @ . _ - 4 12 joe example.com a b".split()
+    changed = Counter()
+    for _ in range(60_000):
+        text = "".join(rng.choice(words) + rng.choice(["", " ", " ", "\t", "\n", "-", "_", "  "]) for _ in range(rng.randint(2, 6)))
+        rules = [i for i, (rule, output) in enumerate(pii.CHAIN) if any(output(m[0]) != m[0] for m in rule.finditer(text))]
+        changed.update(rules)
+        assert pii.hinted(text) or not rules, (text, rules)
+    assert len(changed) == len(pii.CHAIN)
+
+
 def test_clean_text_and_odd_tables_have_no_hidden_spans(spark, odd, none):
     for text in ["we met at home. Then at noon dot", "one two three four", "une un deux trois cats", "Привет мир", ""]:
         assert pii.scan(text) == ([], [])
