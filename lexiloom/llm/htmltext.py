@@ -39,6 +39,9 @@ SIDE_WORDS = frozenset(
     "disqus replies widget masthead search contentinfo complementary hidden".split()
 )
 MAIN_WORDS = frozenset("article main".split())
+#: Words before and after a side word in a name that tells of the layout around it.
+LAYOUT_BEFORE, LAYOUT_AFTER = frozenset("has with no without".split()), frozenset("page layout".split())
+WRAPPERS = frozenset("nav header footer aside menu dialog button".split())  # never around an article as its layout
 
 FEATURES = "words links before_words before_links after_words after_links side main heading page_main".split()
 #: Labelled blocks (1 article text), the features in the order of FEATURES.
@@ -127,7 +130,8 @@ class Reader:
         self.blocks: list[tuple] = []
         self.parts: list[str] = []
         self.words = self.linked = self.link = 0
-        self.open: list[tuple[str, bool, bool]] = []  # element, side part, main part
+        self.open: list[tuple] = []  # element, side part, main part, side part by name or form, outermost article
+        self.soft, self.outer = 0, -1  # side parts by name or form; those around the outermost article or main, -1 outside
         self.count: Counter = Counter()
         self.side = self.main = 0
         self.heading = False
@@ -145,7 +149,7 @@ class Reader:
         if self.words:
             text = " ".join("".join(self.parts).split())
             n = len(text.split())
-            self.blocks.append((text, n, min(1.0, self.linked / n), self.side > 0, self.main > 0, self.heading))
+            self.blocks.append((text, n, min(1.0, self.linked / n), self.side, self.main > 0, self.heading, self.outer))
         self.parts, self.words, self.linked = [], 0, 0
 
     def start(self, name: str, attributes: str) -> None:
@@ -155,7 +159,7 @@ class Reader:
             self.link += 1
         if name not in BREAKS:
             if name not in VOID and name != "a" and attributes and self.names(attributes) & SIDE_WORDS:
-                self.push(name, True, False)
+                self.push(name, True, False, True)
             return
         self.end_block()
         self.link = 0  # no link reaches over blocks
@@ -165,13 +169,25 @@ class Reader:
         names = self.names(attributes) if attributes else frozenset()
         main = name in MAIN or bool(names & MAIN_WORDS)
         side = name in ASIDE and not (name == "header" and self.main) or bool(names & SIDE_WORDS) or bool(attributes and UNSEEN.search(attributes))
-        self.push(name, side and name not in ("body", "html") and not (main and name in MAIN), main)
+        soft = name not in WRAPPERS and not (attributes and UNSEEN.search(attributes))
+        self.push(name, side and name not in ("body", "html") and not (main and name in MAIN), main, soft)
 
     def names(self, attributes: str) -> frozenset:
-        return frozenset(w.lower() for m in NAMES.finditer(attributes) for w in PARTS.findall(m[1]))
-
-    def push(self, name: str, side: bool, main: bool) -> None:
-        self.open.append((name, side, main))
+        found = set()
+        for m in NAMES.finditer(attributes):
+            for name in m[1].split():
+                words = [w.lower() for w in PARTS.findall(name)]
+                for before, w, after in zip(["", *words], words, [*words[1:], ""]):
+                    if w not in SIDE_WORDS or before not in LAYOUT_BEFORE and after not in LAYOUT_AFTER:
+                        found.add(w)
+        return frozenset(found)
+
+    def push(self, name: str, side: bool, main: bool, soft: bool) -> None:
+        soft, top = side and soft, name in MAIN and self.outer < 0
+        if top:
+            self.outer = self.soft
+        self.open.append((name, side, main, soft, top))
+        self.soft += soft
         self.count[name] += 1
         self.side += side
         self.main += main
@@ -184,7 +200,10 @@ class Reader:
             self.heading = False
         if self.count[name]:
             while True:
-                was, side, main = self.open.pop()
+                was, side, main, soft, top = self.open.pop()
+                self.soft -= soft
+                if top:
+                    self.outer = -1
                 self.count[was] -= 1
                 self.side -= side
                 self.main -= main
@@ -229,6 +248,13 @@ class Reader:
             else:
                 self.start(name, m[3])
         self.end_block()
+        self.settle()
+
+    def settle(self) -> None:
+        """Side parts by name or form that every article of the page stands in are its layout; they do not count for the articles.
+        An article in further ones, such as a teaser, stays beside."""
+        layout = min((b[6] for b in self.blocks if b[6] >= 0), default=0)
+        self.blocks = [(*b[:3], b[3] > (layout if b[6] >= 0 else 0), *b[4:6]) for b in self.blocks]
 
 
 def main_text(html: str | None, node=None) -> str:

@@ -340,3 +340,16 @@ def test_pages_parts_and_odd_tables(spark):
     got = htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int")).collect()
     assert len(got) == 5 and [r["n_chars"] for r in got if r["page_id"] in (1, 2)] == [0, 0, 0]
     assert htmltext.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+@pytest.mark.parametrize("wrapper", [
+    '<div class="has-sidebar">', '<section class="content-with-sidebar">', '<div id="no-ads">', '<div class="search-page">', '<div class="widget">', "<form>",
+])
+def test_article_in_a_layout_wrapper(wrapper):
+    body = "<p>The first paragraph of the article is long enough to count as text.</p><aside>Related stuff</aside>"
+    beside = '<section class="comments"><article><p>I liked this a lot, it is long enough to be an article.</p></article></section>'
+    teaser = '<div class="related"><article><p>Another article of this site that you may like to read next.</p></article></div>'
+    end = "</" + wrapper[1:].split()[0].rstrip(">") + ">"
+    want = "The first paragraph of the article is long enough to count as text."
+    assert htmltext.main_text(f"{wrapper}<article>{body}{beside}</article>{teaser}{end}") == want
+    assert htmltext.main_text(f"<main>{body}{beside}</main>{teaser}") == want
