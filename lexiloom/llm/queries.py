@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import htmltext, langid, linededup, mixing, nndescent, packing, permindex, pii, sharding, simhash
+from lexiloom.llm import conversations, htmltext, langid, linededup, mixing, nndescent, packing, permindex, pii, sharding, simhash
 from lexiloom.session import cut
 
 
@@ -87,10 +87,32 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """``rows`` (conv_id, turn, role, text) with set damage, by the checksum of ``conv_id:turn`` modulo 20; nulls count as one blank.
+
+    0 drops a row (it stays as one that is not present), 1 empties its text, 2 removes its sentence ends, 3 repeats it, 4 makes
+    it a user's.
+    """
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    kind = F.col("kind")
+    text, role = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("text", "role"))
+    return rows.withColumn("kind", F.crc32(key) % 20).select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(role).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        (kind != 0).alias("present"), F.explode(F.when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, and its cheapest repair."""
+    return conversations.repair(damaged(read(spark, sf_dir, "conversations")), F.col("present"))
+
+
 QUERIES = {
     "op1_packing": op1_packing, "op2_language": op2_language, "op3_pii": op3_pii,
     "op4_embedding_dedup": op4_embedding_dedup, "op5_sharding": op5_sharding, "op6_line_dedup": op6_line_dedup, "op7_mixing": op7_mixing,
     "op8_html": op8_html, "op9_neighbours": op9_neighbours, "op10_simhash": op10_simhash,
+    "op13_conversations": op13_conversations,
 }
 
 ORACLES = {
