@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import conversations, htmltext, langid, linededup, mixing, nndescent, packing, permindex, pii, sharding, simhash
+from lexiloom.llm import conversations, htmltext, langid, linededup, mixing, nndescent, packing, permindex, pii, quality, sharding, simhash
 from lexiloom.session import cut
 
 
@@ -87,6 +87,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts of every document, the plain rule, and the verdict of the forest."""
+    return quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def damaged(rows: DataFrame) -> DataFrame:
     """``rows`` (conv_id, turn, role, text) with set damage, by the checksum of ``conv_id:turn`` modulo 20; nulls count as one blank.
 
@@ -112,7 +117,7 @@ QUERIES = {
     "op1_packing": op1_packing, "op2_language": op2_language, "op3_pii": op3_pii,
     "op4_embedding_dedup": op4_embedding_dedup, "op5_sharding": op5_sharding, "op6_line_dedup": op6_line_dedup, "op7_mixing": op7_mixing,
     "op8_html": op8_html, "op9_neighbours": op9_neighbours, "op10_simhash": op10_simhash,
-    "op13_conversations": op13_conversations,
+    "op12_quality": op12_quality, "op13_conversations": op13_conversations,
 }
 
 ORACLES = {
