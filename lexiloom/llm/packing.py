@@ -10,6 +10,7 @@ plan, a run of ordinals per length and class, is joined back to the pieces.
 from __future__ import annotations
 
 import json
+import re
 from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations_with_replacement
@@ -28,7 +29,10 @@ END_ID = 2
 #: The split of a byte-level vocabulary into words, a fixed value of that tokenizer.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-_ENCODINGS: dict[str, tuple] = {}
+LONG_RUN = 100_000  # blanks
+LONG_BLANKS = re.compile(r"(?<!\s)\s{%d}" % LONG_RUN)  # tried at the start of a run only, so the search is linear
+
+_ENCODINGS: dict[str, object] = {}
 
 
 def encoding(path: str):
@@ -47,14 +51,37 @@ def encoding(path: str):
     return _ENCODINGS[path]
 
 
+def _library(path: str, special: bool):
+    """The ``tokenizers`` object of the file; without ``special`` the strings of special tokens are plain text."""
+    key = f"{path} {special}"
+    if key not in _ENCODINGS:
+        from tokenizers import Tokenizer
+
+        lib = Tokenizer.from_file(path)
+        lib.encode_special_tokens = not special
+        _ENCODINGS[key] = lib
+    return _ENCODINGS[key]
+
+
+def _ids(text: str, path: str, special: bool) -> np.ndarray:
+    """Ids of ``text``. The faster encoder cannot split very long runs of blanks; the library, which can, takes those texts."""
+    if len(text) >= LONG_RUN and LONG_BLANKS.search(text):
+        return np.array(_library(path, special).encode(text, add_special_tokens=False).ids, "<u4")
+    enc, names = encoding(path)
+    known = {"allowed_special": "all"} if special and any(s in text for s in names) else {"disallowed_special": ()}
+    return enc.encode_to_numpy(text, **known).astype("<u4", copy=False)
+
+
+def plain_ids(text: str, path: str) -> np.ndarray:
+    """Ids of ``text`` in which the strings of special tokens are plain text."""
+    return _ids(text, path, special=False)
+
+
 def token_ids(text: str | None, path: str, end_id: int = END_ID) -> np.ndarray:
     """Ids of ``text`` as the tokenizer file gives them, then ``end_id``."""
-    enc, special = encoding(path)
     if not text:
         return np.array([end_id], "<u4")
-    known = {"allowed_special": "all"} if any(s in text for s in special) else {"disallowed_special": ()}
-    ids = enc.encode_to_numpy(text, **known)
-    return np.append(ids.astype("<u4", copy=False), np.array([end_id], "<u4"))
+    return np.append(_ids(text, path, special=True), np.array([end_id], "<u4"))
 
 
 def piece_bounds(n: int, width: int) -> list[int]:

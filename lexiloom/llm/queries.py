@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import conversations, htmltext, langid, linededup, mixing, nndescent, packing, permindex, pii, quality, sharding, simhash
+from lexiloom.llm import alignment_tokens, conversations, htmltext, langid, linededup, mixing, nndescent, packing, permindex, pii, quality, sharding, simhash
 from lexiloom.session import cut
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -87,6 +87,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of the byte-level and the piece tokens of every document, with the corpus-wide counts of the links."""
+    return alignment_tokens.link_counts(read(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts of every document, the plain rule, and the verdict of the forest."""
     return quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -117,7 +122,7 @@ QUERIES = {
     "op1_packing": op1_packing, "op2_language": op2_language, "op3_pii": op3_pii,
     "op4_embedding_dedup": op4_embedding_dedup, "op5_sharding": op5_sharding, "op6_line_dedup": op6_line_dedup, "op7_mixing": op7_mixing,
     "op8_html": op8_html, "op9_neighbours": op9_neighbours, "op10_simhash": op10_simhash,
-    "op12_quality": op12_quality, "op13_conversations": op13_conversations,
+    "op11_alignment": op11_alignment, "op12_quality": op12_quality, "op13_conversations": op13_conversations,
 }
 
 ORACLES = {
