@@ -96,14 +96,16 @@ DIGIT_OF = {w: str(i) for i, words in enumerate(SPELLED) for w in words.split()}
 #: Domain endings that a spaced "at" needs when the dot is plain.
 ENDINGS = "com|org|net|edu|gov|info|biz|io|co|de|fr|es|it|uk|us|eu|ch|at|example|test|invalid"
 
-_WORD = "(?:" + "|".join(sorted(DIGIT_OF, key=lambda w: (-len(w), w))) + ")"
+_WORD = "(?:" + "|".join(sorted(DIGIT_OF, key=lambda w: (-len(w), w))) + r")(?![^\W_])"  # whole words, so a run ends where it stops being one
 _OPEN, _SHUT = r"\s{0,2}[\[({<]\s{0,2}", r"\s{0,2}[\])}>]\s{0,2}"
 _DOT = rf"(?:{_OPEN}(?:dot|punkt|punto|point|\.){_SHUT}|\s{{1,3}}dot\s{{1,3}}|&\#46;|&period;)"
 _STEP = rf"(?:{_DOT}|\.)[a-z0-9-]"
-_HOST = rf"[a-z0-9-]++(?:(?:{_DOT}|\.)[a-z0-9-]++)*?(?:{_DOT}[a-z]{{2,}}|\.(?:{ENDINGS}))(?![a-z0-9-])(?!\s{{1,3}}at\s)"
+#: A label of a host has at most 63 characters, and a host that is looked for at most 16 labels, so each look ahead is bounded.
+_LABEL = r"[a-z0-9-]{1,63}+(?![a-z0-9-])"
+_HOST = rf"{_LABEL}(?:(?:{_DOT}|\.){_LABEL}){{0,14}}?(?:{_DOT}[a-z]{{2,63}}+|\.(?:{ENDINGS}))(?![a-z0-9-])(?!\s{{1,3}}at\s)"
 
 #: At least three spelled digits in a row.
-RUNS = re.compile(rf"(?<![^\W_]){_WORD}(?:[ -]{_WORD}){{2,}}+(?![^\W_])", re.I)
+RUNS = re.compile(rf"(?<![^\W_]){_WORD}(?:[ -]{_WORD}){{2,}}+", re.I)
 #: A marked "at" before anything with a dot; a spaced one only before a host with a disguised dot or a known ending.
 AT = re.compile(
     rf"(?<=[a-z0-9._%+-])(?:(?:{_OPEN}(?:at|a|@){_SHUT}|&\#64;|&\#x40;|&commat;|%40)(?=[a-z0-9-]++{_STEP})"
@@ -221,12 +223,15 @@ def hidden_spans(text: str, plain: list[Span]) -> list[Span]:
     if not chain:
         return []
     found: set[Span] = set()
+    known = {kind: ([a for k, a, _ in plain if k == kind], [z for k, _, z in plain if k == kind]) for kind in KINDS}  # by start, apart
     for kind, start, end in plain_spans(chain[-1].text):
         touched = False
         for step in reversed(chain):
             touched = touched or step.changed(start, end)
             start, end = step.source(start, end)
-        if touched and not any(k == kind and a <= start and end <= z for k, a, z in plain):
+        starts, ends = known[kind]
+        k = bisect_right(starts, start) - 1  # the one plain span that may hold this one
+        if touched and not (k >= 0 and end <= ends[k]):
             found.add((kind, start, end))
     return list(found)
 
