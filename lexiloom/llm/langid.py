@@ -13,13 +13,14 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.llm.common import slices, small_batches, tidy
 
 BUCKETS = 1 << 15
-TRAIN_DOCS = 20_000  # about as many labelled texts, spread evenly over the table, fit the tables
+TRAIN_DOCS = 20_000  # about as many different labelled texts of each language, spread evenly over the table, fit the tables
+MAX_LANGS = 256  # the most frequent labels are learned; so many tables of BUCKETS numbers reach the driver at most
 SWITCH = 12.0  # cost of a change of language, in nats
 SMOOTH = 0.5
 SCRIPT_SHARE = 0.001  # a language uses a script that holds at least this share of its letters
@@ -157,17 +158,29 @@ def held_out(doc_id) -> F.Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % 4 == 2
 
 
-def fit(docs: DataFrame, max_docs: int = TRAIN_DOCS) -> Model:
+def sampled(docs: DataFrame, max_docs: int = TRAIN_DOCS, max_langs: int = MAX_LANGS) -> DataFrame:
+    """About ``max_docs`` different texts of each of the ``max_langs`` most frequent languages of ``docs``: (text, lang).
+
+    Texts are picked by their hash at a rate per language, so a rare language keeps all its texts however large the table is,
+    and a text with very many copies counts once.
+    """
+    known = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where("text is not null and lang is not null")
+    hashed = known.withColumn("h", F.xxhash64("text"))
+    sizes = hashed.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs)
+    rates = [(r["lang"], int(min(1.0, max_docs / max(r["n"], 1)) * (1 << 30))) for r in sizes.collect()]  # max_langs rows at most
+    limits = docs.sparkSession.createDataFrame(rates, "lang string, rate long")
+    picked = hashed.join(F.broadcast(limits), "lang").where(F.pmod(F.xxhash64(F.lit(1), "h"), F.lit(1 << 30)) < F.col("rate"))
+    return picked.dropDuplicates(["lang", "h"]).select("text", "lang")
+
+
+def fit(docs: DataFrame, max_docs: int = TRAIN_DOCS, max_langs: int = MAX_LANGS) -> Model:
     """Learn the trigram tables from ``docs`` (text, lang): rows with a null text or lang say nothing.
 
-    About ``max_docs`` texts are used, chosen by a hash of the text. Each task counts its own trigrams; what reaches the
-    driver is at most one number per language and bucket, so it does not grow with the corpus.
+    About ``max_docs`` different texts of each language are used (see ``sampled``). Each task counts its own trigrams; what
+    reaches the driver is at most one number per language and bucket, so it does not grow with the corpus.
     """
     small_batches()
-    known = docs.select("text", F.col("lang").cast("string").alias("lang")).where("text is not null and lang is not null")
-    total = known.select(F.lit(1)).count()
-    if total > max_docs:
-        known = known.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int((1 << 30) * max_docs / total))
+    known = sampled(docs, max_docs, max_langs)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[str, np.ndarray] = {}
@@ -229,12 +242,14 @@ def predictor(model: Model, switch: float = SWITCH) -> Callable:
     name; words in a script that no learned language uses belong to none. Whole texts are read, in batches bounded by characters.
     """
     small_batches()
+    shared = SparkSession.active().sparkContext.broadcast(model)  # BUCKETS numbers a language, MAX_LANGS languages at most
+
     @F.pandas_udf("lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in tidy(batches):
             texts, rows = list(batch), []
             for lo, hi in slices(texts, 8_000_000):
-                rows += label(texts[lo:hi], model, switch)
+                rows += label(texts[lo:hi], shared.value, switch)
             yield pd.DataFrame({
                 "lang_pred": [r[0] for r in rows], "score": [r[1] for r in rows],
                 "spans": [[{"start": a, "end": z, "lang": k} for a, z, k in r[2]] for r in rows],
