@@ -91,10 +91,10 @@ def dedup_lines(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     row_bytes = 64 + 8 * -(-size["s"] // max(1, size["n"]))
     small = size_checked(gone.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th"), "_at"), size["n"], row_bytes)
     others = [c for c in docs.columns if c not in ("n_removed",)]
-    rows = docs.select(F.struct(*others).alias("_row"))
+    rows = docs.select(F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in others]).alias("_row"))  # any name, dots too
     met = rows.join(small, F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("_row.text") == F.col("_th")) & F.col("_row.text").isNotNull(), "left")
     fixed = met.withColumn("_new", _rebuild(width)(F.when(F.col("_at").isNotNull(), F.col("_row.text")), "_at"))  # only these texts go to Python
     return fixed.select(
-        *[(F.when(F.col("_at").isNotNull(), F.col("_new.text")).otherwise(F.col("_row.text")) if c == "text" else F.col("_row")[c]).alias(c) for c in others],
+        *[(F.when(F.col("_at").isNotNull(), F.col("_new.text")).otherwise(F.col("_row.text")) if c == "text" else F.col("_row").getField(c)).alias(c) for c in others],
         F.coalesce("_new.n", F.lit(0)).alias("n_removed"),
     )
