@@ -40,6 +40,50 @@ def test_token_ids_equal_the_library():
         assert packing.token_ids(text, path).tolist() == lib.encode(text, add_special_tokens=False).ids + [2]
 
 
+def test_very_long_runs_of_blanks_give_the_ids_of_the_library():
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path()
+    lib = Tokenizer.from_file(path)
+    for text in ["a" + " " * 2_000_000 + "b", "\n" * 1_200_000 + "<|endoftext|>x", "x" + " \t" * 60_000 + "y" + " " * 99_999]:
+        assert packing.token_ids(text, path).tolist() == lib.encode(text, add_special_tokens=False).ids + [2]
+    plain = packing.plain_ids("<|endoftext|>" + " " * 150_000, path)
+    assert 50256 not in plain.tolist()
+
+
+def test_pack_takes_a_text_with_a_very_long_run_of_blanks(spark):
+    docs = spark.createDataFrame([(1, "a" + " " * 1_500_000 + "b"), (2, "c"), (3, None)], "doc_id long, text string")
+    rows = packing.pack(packing.cut(packing.pieces(docs, queries.tokenizer_path()))).collect()
+    assert sum(r["length"] for r in rows if r["doc_id"] == 1) == len(packing.token_ids(docs.first()["text"], queries.tokenizer_path()))
+    check_packing(rows, packing.WIDTH)
+
+
+def test_every_language_has_its_share_of_the_sample(spark):
+    rows = [(f"word{i} and more", "en") for i in range(3_000)] + [("copied text", "de")] * 3_000 + [(f"rara {i}", "es") for i in range(5)] + [(None, "fr"), ("x", None)]
+    got = langid.sampled(spark.createDataFrame(rows, "text string, lang string"), 60).collect()
+    count = Counter(r["lang"] for r in got)
+    assert count["es"] == 5 and count["de"] == 1 and 20 < count["en"] < 150 and set(count) == {"en", "de", "es"}
+    assert set(r["lang"] for r in langid.sampled(spark.createDataFrame(rows, "text string, lang string"), 60, 2).collect()) == {"en", "es"}
+
+
+def test_scan_time_grows_with_the_text():
+    import time
+
+    for unit in ("a-at-", "(at) x", "x at y.", "a-at-a.", "one two onex ", "a@b.co x (at) y.org "):
+        spent = []
+        for n in (50_000, 200_000):
+            start = time.perf_counter()
+            pii.scan(unit * (n // len(unit)))
+            spent.append(time.perf_counter() - start)
+        assert spent[1] < 10 * spent[0] + 0.5  # 16 times, were it quadratic
+
+
+def test_line_dedup_takes_any_column_name(spark):
+    odd_names = spark.createDataFrame([(1, "a\nb\nc", 1, 2), (2, "a\nb\nc", 3, 4)], "doc_id long, text string, `x.y` int, `z``q` int")
+    rows = linededup.dedup_lines(odd_names).orderBy("doc_id").collect()
+    assert [(r["text"], r["x.y"], r["z`q"], r["n_removed"]) for r in rows] == [("a\nb\nc", 1, 2, 0), ("", 3, 4, 3)]
+
+
 def test_piece_bounds():
     assert packing.piece_bounds(1, 4) == [1] and packing.piece_bounds(4, 4) == [4]
     assert packing.piece_bounds(5, 4) == [1, 5] and packing.piece_bounds(8, 4) == [4, 8] and packing.piece_bounds(11, 4) == [3, 7, 11]
