@@ -9,14 +9,12 @@ from lexiloom.llm import langid, linededup, mixing, packing, simhash
 from lexiloom.llm.queries import tokenizer_path
 from lexiloom.session import cut, scratch_path
 
-MIN_SCORE = 0.5  # of a document's letters, at least so many are in its language
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a language: no text, no letters, or a mixture in which none has half of the letters."""
+    """Drop documents without a language: no text, or no letters in a script that some language uses."""
     predict = langid.predictor(langid.fit(docs.where(~langid.held_out("doc_id"))))
     found = docs.select(F.struct("*").alias("row"), predict(F.col("text").cast("string")).alias("p"))
-    return found.where((F.col("p.lang_pred") != "und") & (F.col("p.score") >= MIN_SCORE)).select("row.*")
+    return found.where((F.col("p.lang_pred") != "und") & (F.col("p.score") > 0)).select("row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
