@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -22,18 +21,38 @@ from lexiloom.session import cut
 
 FREQUENT = 1 << 20  # id pairs whose counts are broadcast, 16 bytes each; the rest are joined
 WIDE = 4_096  # links of a group up to which they are written out one by one before they are counted
+PROBE = 4  # tokens that are compared first in a run
 SHIFT = 32  # an id pair is one number: A's id above these bits, B's below
 
-_SIDES: dict[str, list[bytes]] = {}
+_SIDES: dict[str, Side] = {}
 _PIECES: dict[str, object] = {}
 
 
-def bytes_a(path: str) -> list[bytes]:
-    """Bytes of each id of a byte-level BPE file; special ids have none."""
+class Side:
+    """A tokenizer's ids: their bytes, the lengths of these, and their decimal forms."""
+
+    def __init__(self, parts: list[bytes]):
+        self.parts, self.lengths = parts, np.array([len(p) for p in parts], np.int64)
+        self.names = np.array([str(i) for i in range(len(parts))], object)
+
+    def joined(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.parts.__getitem__, ids))
+
+    def grouped(self, ids: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> list[str]:
+        """The decimal ids of each group, comma-joined."""
+        names = self.names[ids]
+        out = names[ends - sizes].tolist()
+        for g in np.flatnonzero(sizes > 1).tolist():
+            out[g] = ",".join(names[ends[g] - sizes[g] : ends[g]])
+        return out
+
+
+def side_a(path: str) -> Side:
+    """Ids of a byte-level BPE file; special ids have no bytes."""
     if path not in _SIDES:
         enc, special = encoding(path)
         ids = {enc._mergeable_ranks[b]: b for b in enc._mergeable_ranks}
-        _SIDES[path] = [ids.get(i, b"") for i in range(max([*ids, *special.values()]) + 1)]
+        _SIDES[path] = Side([ids.get(i, b"") for i in range(max([*ids, *special.values()]) + 1)])
     return _SIDES[path]
 
 
@@ -45,14 +64,14 @@ def processor(path: str):
     return _PIECES[path]
 
 
-def bytes_b(path: str) -> list[bytes]:
-    """Bytes of each id of a piece model: U+2581 is a blank, ``<0xHH>`` is one byte."""
+def side_b(path: str) -> Side:
+    """Ids of a piece model: U+2581 is a blank, ``<0xHH>`` is one byte."""
     if path not in _SIDES:
         model = processor(path)
-        _SIDES[path] = [
+        _SIDES[path] = Side([
             bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i) else model.id_to_piece(i).replace("▁", " ").encode()
             for i in range(model.get_piece_size())
-        ]
+        ])
     return _SIDES[path]
 
 
@@ -64,9 +83,9 @@ def common_ends(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
     out_b: list[int] = []
     while i < n:
         if a[i] == b[j]:
-            start, k = i, 1
+            start, k = i, PROBE
             shift = j - i
-            while k and i < n:  # probe ahead in doubled steps, then close in on the end of the run
+            while i < n:  # probe ahead in doubled steps, then close in on the end of the run
                 if a[i : i + k] == b[i + shift : i + shift + k]:
                     i = min(i + k, n)
                     k *= 2
@@ -96,63 +115,66 @@ def common_ends(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
     return out_a, out_b
 
 
-@dataclass
 class Aligned:
     """Ids of both sides and, for each group, how many ids of each side there are up to its end."""
 
-    a: list[int]
-    b: list[int]
-    cuts_a: list[int]
-    cuts_b: list[int]
+    def __init__(self, a: np.ndarray, b: np.ndarray, cuts_a: list[int], cuts_b: list[int]):
+        self.a, self.b = a.astype(np.int64), b.astype(np.int64)
+        self.cuts_a, self.cuts_b = np.array(cuts_a, np.int64), np.array(cuts_b, np.int64)
+        self.p, self.q = np.diff(self.cuts_a, prepend=0), np.diff(self.cuts_b, prepend=0)
 
-    def groups(self) -> str:
+    def groups(self, side_a: Side, side_b: Side) -> str:
         """``a1,a2|b1;a3|b2,b3``: ids of each group, empty without groups."""
-        a, b, out, i, j = [str(x) for x in self.a], [str(x) for x in self.b], [], 0, 0
-        for p, q in zip(self.cuts_a, self.cuts_b):
-            out.append(f"{a[i]}|{b[j]}" if p == i + 1 and q == j + 1 else f"{','.join(a[i:p])}|{','.join(b[j:q])}")
-            i, j = p, q
-        return ";".join(out)
+        both = zip(side_a.grouped(self.a, self.cuts_a, self.p), side_b.grouped(self.b, self.cuts_b, self.q))
+        return ";".join(map("|".join, both))
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
         """The distinct id pairs that share a group, ascending, and how often they do."""
-        a, b = np.array(self.a, np.int64), np.array(self.b, np.int64)
-        ends_a, ends_b = np.array(self.cuts_a, np.int64), np.array(self.cuts_b, np.int64)
-        p, q = np.diff(ends_a, prepend=0), np.diff(ends_b, prepend=0)
+        p, q = self.p, self.q
         area = p * q
-        small = np.flatnonzero(area <= WIDE)
+        single = area == 1
+        small = np.flatnonzero(~single & (area <= WIDE))
         size = area[small]
         group = np.repeat(small, size)
         nth = np.arange(len(group)) - np.repeat(np.cumsum(size) - size, size)
-        keys = [a[(ends_a - p)[group] + nth // q[group]] << SHIFT | b[(ends_b - q)[group] + nth % q[group]]]
-        times = [np.ones(len(group), np.int64)]
-        for g in np.flatnonzero(area > WIDE):  # equal ids are counted first: a wide group of few different ids stays small
-            (xs, nx), (ys, ny) = (np.unique(s[e - w : e], return_counts=True) for s, e, w in ((a, ends_a[g], p[g]), (b, ends_b[g], q[g])))
+        first_a, first_b = self.cuts_a - p, self.cuts_b - q
+        keys = np.concatenate([
+            self.a[first_a[single]] << SHIFT | self.b[first_b[single]],
+            self.a[first_a[group] + nth // q[group]] << SHIFT | self.b[first_b[group] + nth % q[group]],
+        ])
+        found, times = np.unique(keys, return_counts=True)
+        wide = np.flatnonzero(area > WIDE)
+        if not len(wide):
+            return found, times
+        keys, counts = [found], [times]
+        for g in wide:  # equal ids are counted first: a wide group of few different ids stays small
+            xs, nx = np.unique(self.a[first_a[g] : self.cuts_a[g]], return_counts=True)
+            ys, ny = np.unique(self.b[first_b[g] : self.cuts_b[g]], return_counts=True)
             keys.append((xs[:, None] << SHIFT | ys).ravel())
-            times.append((nx[:, None] * ny).ravel())
+            counts.append((nx[:, None] * ny).ravel())
         found, at = np.unique(np.concatenate(keys), return_inverse=True)
         sums = np.zeros(len(found), np.int64)
-        np.add.at(sums, at, np.concatenate(times))
+        np.add.at(sums, at, np.concatenate(counts))
         return found, sums
 
 
-NOTHING = Aligned([], [], [], [])
+NOTHING = Aligned(np.zeros(0, np.int64), np.zeros(0, np.int64), [], [])
 
 
 def align_texts(texts: list[str | None], path_a: str, path_b: str) -> Iterator[Aligned]:
     """Alignment of each text; texts that are null or empty, or that a side does not give back byte for byte, have no tokens."""
-    table_a, table_b, model = bytes_a(path_a), bytes_b(path_b), processor(path_b)
+    left, right, model = side_a(path_a), side_b(path_b), processor(path_b)
     for text in texts:
         if not text:
             yield NOTHING
             continue
-        a, b = plain_ids(" " + text, path_a).tolist(), model.encode(text)
-        parts_a, parts_b = [table_a[i] for i in a], [table_b[i] for i in b]
+        a, pieces = plain_ids(" " + text, path_a), model.encode(text)
         whole = (" " + text).encode("utf-8", "surrogatepass")
-        if b"".join(parts_a) != whole or b"".join(parts_b) != whole:
+        if left.joined(a.tolist()) != whole or right.joined(pieces) != whole:
             yield NOTHING
             continue
-        ends_a, ends_b = (np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))).tolist() for parts in (parts_a, parts_b))
-        yield Aligned(a, b, *common_ends(ends_a, ends_b))
+        b = np.array(pieces, np.int64)
+        yield Aligned(a, b, *common_ends(np.cumsum(left.lengths[a]).tolist(), np.cumsum(right.lengths[b]).tolist()))
 
 
 def _sent(docs: DataFrame) -> DataFrame:
@@ -190,10 +212,10 @@ def summaries(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in tidy(batches):
             for lo, hi in slices(batch["text"].tolist(), 1_000_000):
-                rows = []
+                rows, sides = [], (side_a(path_a), side_b(path_b))
                 for doc, x in zip(batch["doc_id"].iloc[lo:hi], align_texts(batch["text"].iloc[lo:hi].tolist(), path_a, path_b)):
                     keys, times = x.links()
-                    digest = hashlib.sha256(x.groups().encode()).hexdigest() if x.a else ""
+                    digest = hashlib.sha256(x.groups(*sides).encode()).hexdigest() if len(x.a) else ""
                     rows.append((doc, len(x.a), len(x.b), len(x.cuts_a), int(times.sum()), digest, keys, times))
                 yield pd.DataFrame(rows, columns=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "keys", "times"])
 
