@@ -21,6 +21,7 @@ from lexiloom.session import cut
 
 FREQUENT = 1 << 20  # id pairs whose counts are broadcast, 16 bytes each; the rest are joined
 WIDE = 4_096  # links of a group up to which they are written out one by one before they are counted
+DIGITS = 8  # room for a decimal id and the mark after it
 PROBE = 4  # tokens that are compared first in a run
 SHIFT = 32  # an id pair is one number: A's id above these bits, B's below
 
@@ -29,23 +30,17 @@ _PIECES: dict[str, object] = {}
 
 
 class Side:
-    """A tokenizer's ids: their bytes, the lengths of these, and their decimal forms."""
+    """A tokenizer's ids: their bytes, the lengths of these, and their decimal digits."""
 
     def __init__(self, parts: list[bytes]):
         self.parts, self.lengths = parts, np.array([len(p) for p in parts], np.int64)
-        self.names = np.array([str(i) for i in range(len(parts))], object)
+        names = [str(i).encode() for i in range(len(parts))]
+        self.widths = np.array([len(x) for x in names], np.int64)
+        self.digits = np.frombuffer(b"".join(x.ljust(DIGITS) for x in names), np.uint8).reshape(-1, DIGITS)
 
     def joined(self, ids: list[int]) -> bytes:
         return b"".join(map(self.parts.__getitem__, ids))
 
-    def grouped(self, ids: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> list[str]:
-        """The decimal ids of each group, comma-joined."""
-        names = self.names[ids]
-        out = names[ends - sizes].tolist()
-        for g in np.flatnonzero(sizes > 1).tolist():
-            out[g] = ",".join(names[ends[g] - sizes[g] : ends[g]])
-        return out
-
 
 def side_a(path: str) -> Side:
     """Ids of a byte-level BPE file; special ids have no bytes."""
@@ -123,10 +118,19 @@ class Aligned:
         self.cuts_a, self.cuts_b = np.array(cuts_a, np.int64), np.array(cuts_b, np.int64)
         self.p, self.q = np.diff(self.cuts_a, prepend=0), np.diff(self.cuts_b, prepend=0)
 
-    def groups(self, side_a: Side, side_b: Side) -> str:
+    def groups(self, side_a: Side, side_b: Side) -> bytes:
         """``a1,a2|b1;a3|b2,b3``: ids of each group, empty without groups."""
-        both = zip(side_a.grouped(self.a, self.cuts_a, self.p), side_b.grouped(self.b, self.cuts_b, self.q))
-        return ";".join(map("|".join, both))
+        n = len(self.a) + len(self.b)
+        if not n:
+            return b""
+        at_a = np.arange(len(self.a)) + np.repeat(self.cuts_b - self.q, self.p)  # places in the order of the result
+        at_b = np.arange(len(self.b)) + np.repeat(self.cuts_a, self.q)
+        cells, width, mark = np.empty((n, DIGITS), np.uint8), np.empty(n, np.int64), np.full(n, ord(","), np.uint8)
+        for side, ids, at in ((side_a, self.a, at_a), (side_b, self.b, at_b)):
+            cells[at], width[at] = side.digits[ids], side.widths[ids]
+        mark[at_a[self.cuts_a - 1]], mark[at_b[self.cuts_b - 1]] = ord("|"), ord(";")
+        cells[np.arange(n), width] = mark
+        return cells[np.arange(DIGITS) <= width[:, None]].tobytes()[:-1]
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
         """The distinct id pairs that share a group, ascending, and how often they do."""
@@ -170,11 +174,12 @@ def align_texts(texts: list[str | None], path_a: str, path_b: str) -> Iterator[A
             continue
         a, pieces = plain_ids(" " + text, path_a), model.encode(text)
         whole = (" " + text).encode("utf-8", "surrogatepass")
-        if left.joined(a.tolist()) != whole or right.joined(pieces) != whole:
+        b, ends_a = np.array(pieces, np.int64), np.cumsum(left.lengths[a])
+        # byte-level merges can lose bytes but not change them, so their number is enough; pieces may stand for other bytes
+        if ends_a[-1] != len(whole) or right.joined(pieces) != whole:
             yield NOTHING
             continue
-        b = np.array(pieces, np.int64)
-        yield Aligned(a, b, *common_ends(np.cumsum(left.lengths[a]).tolist(), np.cumsum(right.lengths[b]).tolist()))
+        yield Aligned(a, b, *common_ends(ends_a.tolist(), np.cumsum(right.lengths[b]).tolist()))
 
 
 def _sent(docs: DataFrame) -> DataFrame:
@@ -215,7 +220,7 @@ def summaries(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 rows, sides = [], (side_a(path_a), side_b(path_b))
                 for doc, x in zip(batch["doc_id"].iloc[lo:hi], align_texts(batch["text"].iloc[lo:hi].tolist(), path_a, path_b)):
                     keys, times = x.links()
-                    digest = hashlib.sha256(x.groups(*sides).encode()).hexdigest() if len(x.a) else ""
+                    digest = hashlib.sha256(x.groups(*sides)).hexdigest() if len(x.a) else ""
                     rows.append((doc, len(x.a), len(x.b), len(x.cuts_a), int(times.sum()), digest, keys, times))
                 yield pd.DataFrame(rows, columns=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "keys", "times"])
 

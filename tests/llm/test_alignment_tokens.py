@@ -104,7 +104,7 @@ def test_wide_groups_are_counted_without_writing_out_their_links():
     x = at.Aligned(np.array([1, 2] * 3_000), np.array([5] * 4_000), [6_000], [4_000])
     keys, times = x.links()
     assert keys.tolist() == [1 << 32 | 5, 2 << 32 | 5] and times.tolist() == [3_000 * 4_000] * 2
-    assert x.groups(at.side_a(A), at.side_b(B)).count(",") == 9_998
+    assert x.groups(at.side_a(A), at.side_b(B)).count(b",") == 9_998
 
 
 @pytest.fixture(scope="module")
