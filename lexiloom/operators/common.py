@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from math import ceil
+from math import ceil, isqrt
 
 import numpy as np
 import pandas as pd
@@ -136,10 +136,21 @@ def add_blocks(parts: DataFrame, n: int) -> DataFrame:
     return parts.repartition(tasks, "blk").sortWithinPartitions("blk").mapInPandas(add, PACKED)
 
 
-def meet(left: DataFrame, right: DataFrame, n_right: int, right_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Bring every left block together with every right block by an equi-join on the right block number.
+def meet(left: DataFrame, right: DataFrame, n_right: int, right_bytes: int, limit: int = BROADCAST_BYTES, left_blk: str | None = None) -> DataFrame:
+    """Bring every left block together with every right block.
 
-    The right side is broadcast below ``limit`` bytes; beyond it the left blocks are shuffled to the right ones.
+    The right side is broadcast below ``limit`` bytes. Beyond it both sides are dealt to the cells of a grid, left blocks to its
+    rows and right blocks to its columns: a block goes to each cell of its row or column, so either side is copied about the
+    square root of the tasks, and no task sees a whole side. ``left_blk`` is the left block number (``lblk`` or ``blk``).
     """
-    addressed = left.withColumn("rblk", F.explode(F.sequence(F.lit(0), F.lit(n_right - 1))))
-    return addressed.join(F.broadcast(right) if right_bytes <= limit else right, "rblk")
+    if right_bytes <= limit:
+        addressed = left.withColumn("rblk", F.explode(F.sequence(F.lit(0), F.lit(n_right - 1))))
+        return addressed.join(F.broadcast(right), "rblk")
+    tasks = max(2 * left.sparkSession.sparkContext.defaultParallelism, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    columns = min(n_right, isqrt(tasks))
+    rows = -(-tasks // columns)
+    number = F.col(left_blk or ("lblk" if "lblk" in left.columns else "blk"))
+    across, down = (F.explode(F.sequence(F.lit(0), F.lit(n - 1))) for n in (columns, rows))
+    by_row = left.withColumn("_row", F.pmod(number, F.lit(rows))).withColumn("_column", across)
+    by_column = right.withColumn("_column", F.pmod(F.col("rblk"), F.lit(columns))).withColumn("_row", down)
+    return by_row.join(by_column, ["_row", "_column"]).drop("_row", "_column")

@@ -1,4 +1,5 @@
 import math
+import re
 
 import numpy as np
 import pytest
@@ -78,6 +79,19 @@ def test_shuffled_blocks_equal_broadcast_blocks(spark, points):
     assert sorted(map(str, a)) == sorted(map(str, b))
 
 
+def test_grid_brings_all_blocks_together_once_with_few_copies(spark, points, monkeypatch):
+    monkeypatch.setattr(common, "BLOCK_ROWS", 4)
+    left, n_left = common.blocks(table(spark, points), ["word"], [], "vec", 90, "lblk")
+    right, n = common.blocks(table(spark, points).toDF("other", "ovec"), ["other"], [], "ovec", 90, "rblk")
+    met = common.meet(left, right, n, 10, limit=1)
+    got = sorted((r["lblk"], r["rblk"]) for r in met.select("lblk", "rblk").collect())
+    have = [sorted(r[0] for r in t.select(c).collect()) for t, c in ((left, "lblk"), (right, "rblk"))]
+    assert n_left > 15 and got == sorted((a, b) for a in have[0] for b in have[1])
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    copies = [re.findall(r"\d+", x)[-1] for x in re.findall(r"explode\((.*?)\)", plan)]
+    assert copies == ["3", "3"]  # 16 tasks: each side goes to the cells 0 to 3 of its row or column
+
+
 def test_zero_vectors_have_zero_cosine(spark):
     v = table(spark, [[0.0, 0.0], [1.0, 0.0]])
     assert matrix(S.unit_table(v)).tolist() == [[0, 0], [1, 0]]
