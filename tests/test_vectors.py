@@ -79,6 +79,18 @@ def test_shuffled_blocks_equal_broadcast_blocks(spark, points):
     assert sorted(map(str, a)) == sorted(map(str, b))
 
 
+def test_svd_beyond_the_broadcast_limit_keeps_tables_apart(spark):
+    rng = np.random.default_rng(2)
+    dense = [np.where(rng.random((140, 140)) < 0.2, rng.random((140, 140)), 0) for _ in range(3)]
+    entries = spark.createDataFrame(
+        [(k, int(i), int(j), float(a[i, j])) for k, a in enumerate(dense) for i, j in zip(*np.nonzero(a))], "cfg int, row int, col int, w double"
+    )
+    got = R.svd_tables(entries, 3, 140, 4, power=1.0, limit=1).collect()
+    for k, a in enumerate(dense):
+        found = np.array([r["vec"] for r in sorted((r for r in got if r["cfg"] == k), key=lambda r: r["idx"])])
+        assert np.allclose(np.linalg.norm(found, axis=0), np.linalg.svd(a)[1][:4], rtol=1e-3)
+
+
 def test_grid_brings_all_blocks_together_once_with_few_copies(spark, points, monkeypatch):
     monkeypatch.setattr(common, "BLOCK_ROWS", 4)
     left, n_left = common.blocks(table(spark, points), ["word"], [], "vec", 90, "lblk")
