@@ -10,6 +10,7 @@ from lexiloom.functions import vectors as VX
 from lexiloom.operators import alignment as A
 from lexiloom.operators import alignment_eval as E
 from lexiloom.operators import bias as B
+from lexiloom.operators import cell_index
 from lexiloom.operators import corpus as C
 from lexiloom.operators import metrics as M
 from lexiloom.operators import reduction as R
@@ -508,6 +509,12 @@ def topk_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return got.select("src", "tgt", r6("cos"), "rank")
 
 
+@query
+def approx_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    got = cell_index.approx_neighbours(I.vectors(spark, sf), I.other_space(spark, sf), 5)
+    return got.select("src", "tgt", r6("cos"), "rank")
+
+
 @query
 def kmeans(spark: SparkSession, sf: str) -> DataFrame:
     return S.kmeans(I.vectors(spark, sf)).select("word", "cluster")

@@ -68,7 +68,7 @@ def test_registry_and_oracles_agree():
     names = {n for n in entry.queries() if n not in entry.LLM_QUERIES}
     assert set(entry.oracle_sql()) <= names | set(entry.LLM_QUERIES)
     assert {n for n in names if n not in entry.oracle_sql()} == {
-        "svd_embed", "svd_embed_us", "sweep", "kmeans", "self_learning",
+        "svd_embed", "svd_embed_us", "sweep", "kmeans", "self_learning", "approx_neighbours",
     }
 
 
