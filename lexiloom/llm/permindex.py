@@ -1,14 +1,16 @@
 """Approximate nearest neighbours by a permutation index.
 
-A vector is represented by the order of its nearest pivots. Its rank for a pivot is posted in that pivot's inverted file. A
-query visits the files in the order of its own nearest pivots and adds up how far the ranks differ (the footrule distance);
-the vectors with the least distance are ranked again by the exact measure.
+A vector is represented by its nearest pivots in order, and posted with its place in the inverted file of each of them. A query
+opens the files of its own nearest pivots and adds up, for the vectors posted there, how much nearer the two orders are than
+orders that share nothing (the footrule distance, counted down from its largest value); the vectors with the least distance
+are ranked again by the exact measure.
 
 Inner products are turned into distances by one more coordinate that brings all vectors to the same length; queries get 0.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
@@ -19,10 +21,11 @@ from pyspark.sql.window import Window
 
 from lexiloom.session import cut
 
-PIVOTS = 128
+PIVOTS = 256
+DEPTH = 64  # files that a vector is posted in, and a query opens
 SAMPLE = 4096  # vectors that pivots are drawn from
-FRACTION = 0.15  # of each block's vectors are ranked again
-LEAST = 1024  # at least so many in a block
+FRACTION = 0.25  # of each block's vectors are ranked again
+LEAST = 256  # at least so many in a block
 ROWS, QUERIES = 8192, 4096  # vectors and queries in a block
 
 
@@ -35,7 +38,8 @@ def usable(vec: str) -> F.Column:
 def pivots_of(vectors: DataFrame, n: int = PIVOTS, sample: int = SAMPLE) -> tuple[np.ndarray, float]:
     """``n`` pivots, lengthened by the coordinate that equalises lengths, and the largest length.
 
-    They are drawn far apart from about ``sample`` vectors that a hash picks, whatever the size of the table.
+    They come from about ``sample`` vectors that a hash picks, whatever the size of the table: each is drawn with a chance
+    that grows with the square of its distance to those before, so copies of a pivot are never drawn.
     """
     got = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)).alias("m")).first()
     if not got["n"]:
@@ -45,7 +49,12 @@ def pivots_of(vectors: DataFrame, n: int = PIVOTS, sample: int = SAMPLE) -> tupl
         part = vectors.where(F.pmod(F.xxhash64("vec_id", F.lit(11)), F.lit(1 << 30)) < int((1 << 30) * sample / got["n"]))
     rows = part.select("vec_id", "vec").toPandas().sort_values("vec_id")
     x = lengthen(np.stack(rows["vec"]), float(got["m"]))
-    pick = np.random.default_rng(5).permutation(len(x))[:n]
+    rng, pick, far = np.random.default_rng(5), [], np.ones(len(x))
+    while len(pick) < n and far.any():
+        pick.append(int(rng.choice(len(x), p=far / far.sum())))
+        gap = ((x - x[pick[-1]]) ** 2).sum(axis=1)
+        gap[gap <= 1e-18 * max(1.0, float(got["m"]))] = 0
+        far = gap if len(pick) == 1 else np.minimum(far, gap)
     return x[pick], float(got["m"])
 
 
@@ -54,25 +63,32 @@ def lengthen(x: np.ndarray, longest: float) -> np.ndarray:
     return np.concatenate([x, rest[:, None]], axis=1)
 
 
-def ranks(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """Rank of every pivot for each row by distance, ties to the earlier pivot."""
+def nearest_pivots(x: np.ndarray, pivots: np.ndarray, depth: int = DEPTH) -> np.ndarray:
+    """The numbers of the ``depth`` nearest pivots of each row, nearest first, ties to the earlier pivot."""
     far = (pivots * pivots).sum(axis=1)[None, :] - 2 * x @ pivots.T
-    order = np.argsort(far, axis=1, kind="stable")
-    out = np.empty(order.shape, np.int16)
-    np.put_along_axis(out, order, np.arange(order.shape[1], dtype=np.int16)[None, :], axis=1)
-    return out
+    return np.argsort(far, axis=1, kind="stable")[:, :depth].astype(np.int16)
 
 
-def search_block(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray, pivots: np.ndarray, longest: float, k: int,
-                 fraction: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def inverted_files(order: np.ndarray, n_pivots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Postings by pivot of rows with the nearest pivots ``order``: (row, place of the pivot in its order), and where a file starts."""
+    by_pivot = np.argsort(order, axis=None, kind="stable")
+    starts = np.searchsorted(order.ravel()[by_pivot], np.arange(n_pivots + 1))
+    return by_pivot // order.shape[1], (by_pivot % order.shape[1]).astype(np.int32), starts
+
+
+def search_block(ids: np.ndarray, x: np.ndarray, order: np.ndarray, qids: np.ndarray, q: np.ndarray, asked: np.ndarray, n_pivots: int,
+                 k: int, fraction: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The ``k`` best found in one block for each query: (query ids, vector ids, inner products)."""
-    files = np.ascontiguousarray(ranks(lengthen(x, longest), pivots).T)  # one inverted file a pivot: ranks by vector
-    asked = ranks(np.concatenate([q, np.zeros((len(q), 1))], axis=1), pivots)
+    row, place, starts = inverted_files(order, n_pivots)
+    depth = order.shape[1]
     again = min(len(ids), max(LEAST, 2 * k, ceil(fraction * len(ids))))
     out_q, out_v, out_s = [], [], []
     for i in range(len(q)):
-        footrule = np.abs(files - asked[i][:, None]).sum(axis=0, dtype=np.int32)
-        near = np.flatnonzero(footrule <= np.partition(footrule, again - 1)[again - 1]) if again < len(ids) else np.arange(len(ids))
+        shared = np.zeros(len(ids), np.int32)  # half of: largest footrule distance less the footrule distance
+        for rank, pivot in enumerate(asked[i]):
+            file = slice(starts[pivot], starts[pivot + 1])
+            shared[row[file]] += depth - np.maximum(place[file], rank)
+        near = np.flatnonzero(shared >= np.partition(shared, len(ids) - again)[len(ids) - again])
         near = near[ids[near] != qids[i]]
         score = x[near] @ q[i]
         best = np.lexsort((ids[near], -score))[:k]
@@ -91,8 +107,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, n_pivots: int =
     empty, zero or holds null or non-finite components take no part, on either side, and neither do rows without an id; rows
     that agree in id and vector count once. If there are fewer than ``k`` others, all are found.
 
-    Vectors and queries meet in a grid of blocks, each of bounded size and with inverted files of its own, so each pair of a
-    query and a vector belongs to one task; a task returns k rows per query.
+    Nearest pivots are found once per vector. Vectors and queries then meet in a grid of blocks, each of bounded size and with
+    inverted files of its own, so that the file of a hot pivot is spread over the blocks; a query visits only the postings of its
+    own pivots, and a task returns k rows per query.
     """
     spark = vectors.sparkSession
     clean = lambda df: df.select("vec_id", F.col("embedding").cast("array<double>").alias("vec")).where(usable("vec") & F.col("vec_id").isNotNull()).distinct()
@@ -103,19 +120,28 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, n_pivots: int =
     down, across = max(1, ceil(n / rows)), max(1, ceil(m / n_queries))
     held = spark.sparkContext.broadcast((pivots, longest))
 
+    def posted(df: DataFrame, query: bool) -> DataFrame:
+        def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            points, most = held.value
+            for batch in batches:
+                if len(batch):
+                    x = np.stack(batch["vec"])
+                    long = np.concatenate([x, np.zeros((len(x), 1))], axis=1) if query else lengthen(x, most)
+                    yield batch.assign(pivots=list(nearest_pivots(long, points)))
+
+        return df.mapInPandas(place, "vec_id long, vec array<double>, pivots array<short>")
+
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
-        points, most = held.value
-        q, v, s = search_block(
-            left["vec_id"].to_numpy(np.int64), np.stack(left["vec"]), right["vec_id"].to_numpy(np.int64), np.stack(right["vec"]), points, most, k, fraction
-        )
+        sides = [(side["vec_id"].to_numpy(np.int64), np.stack(side["vec"]), np.stack(side["pivots"])) for side in (left, right)]
+        q, v, s = search_block(*sides[0], *sides[1], len(held.value[0]), k, fraction)
         return pd.DataFrame({"query_id": q, "vec_id": v, "score": s})
 
     def block(df: DataFrame, own: str, parts: int, other: str, copies: int) -> DataFrame:
         return df.withColumn(own, F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
 
-    cells = block(table, "i", down, "j", across).groupBy("i", "j").cogroup(block(asked, "j", across, "i", down).groupBy("i", "j"))
+    cells = block(posted(table, False), "i", down, "j", across).groupBy("i", "j").cogroup(block(posted(asked, True), "j", across, "i", down).groupBy("i", "j"))
     found = cells.applyInPandas(run, schema)
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -245,3 +245,33 @@ def test_pipeline_of_an_odd_table(spark, tmp_path):
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none/documents.parquet")
     assert [r["doc_id"] for r in corpus_pipeline.run(spark, f"{tmp_path}/full").collect()] == [4]
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_footrule_by_postings_equals_footrule_by_ranks():
+    rng = np.random.default_rng(8)
+    order = np.stack([rng.permutation(30)[:10] for _ in range(200)]).astype(np.int16)
+    row, place, starts = permindex.inverted_files(order, 30)
+    asked = rng.permutation(30)[:10]
+    shared = np.zeros(200, int)
+    for rank, pivot in enumerate(asked):
+        file = slice(starts[pivot], starts[pivot + 1])
+        assert (order[row[file], place[file]] == pivot).all()
+        shared[row[file]] += 10 - np.maximum(place[file], rank)
+    full = np.full((201, 30), 10)
+    for i, o in enumerate([*order, asked]):
+        full[i, o] = np.arange(10)
+    assert (np.abs(full[:-1] - full[-1]).sum(axis=1) == 2 * (55 - shared)).all()
+
+
+def test_pivots_are_drawn_far_apart(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, [1.0, 1.0, 1.0]) for i in range(300)] + [(300 + i, rng.normal(size=3).tolist()) for i in range(40)]
+    pivots, _ = permindex.pivots_of(spark.createDataFrame(rows, "vec_id long, vec array<double>"), n=64)
+    assert len(pivots) == 41 and len(np.unique(pivots.round(12), axis=0)) == 41
+
+
+def test_neighbours_keep_repeated_rows_and_clashing_columns_apart(spark):
+    rows = [(i % 40, [float(i % 40), 1.0], i, 0.5, i, i) for i in range(80)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank int, score double, query_id int, pivots int")
+    got = permindex.search(table, table.where("vec_id = 20"), k=3).orderBy("rank").collect()
+    assert [(r["query_id"], r["rank"], r["vec_id"]) for r in got] == [(20, 1, 39), (20, 2, 38), (20, 3, 37)]
