@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from lexiloom.operators import corpus as C
 from lexiloom.operators import weighting as W
 from lexiloom.operators.common import lookup, ordinal
+from lexiloom.session import cut
 
 
 def corpus(spark, sentences):
@@ -100,3 +102,46 @@ def test_ordinal_is_dense_and_ordered(spark):
     df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("x"))
     got = ordinal(df, [-F.col("x")]).orderBy("idx").collect()
     assert [r["idx"] for r in got] == list(range(5000)) and [r["x"] for r in got] == list(range(4999, -1, -1))
+
+
+@pytest.mark.parametrize("distance", [False, True])
+def test_chunks_with_a_halo_equal_brute_force(spark, distance):
+    """Chunks without a known word, chunks with one, and windows that reach over several chunks."""
+    rng = random.Random(4)
+    long = [" ".join(rng.choice(["a", "b", "c", "d"] if rng.random() < share else ["u", "v"]) for _ in range(150)) for share in (0.9, 0.3, 0.05)]
+    sentences = [*SENTENCES, *long, "u " * 40 + "a " + "u " * 40 + "b", "u"]
+    toks = corpus(spark, sentences)
+    ids = {w: i for i, w in enumerate("abcd")}
+    vocab = spark.createDataFrame([(w, i, 9) for w, i in ids.items()], "word string, idx int, freq long")
+    encoded = cut(C.encode(C.in_chunks(toks, size=7), vocab, sentence=C.CHUNK))
+    got = C.cooccurrence(C.with_halo(encoded, 5), (1, 2, 5), distance, C.CHUNK).collect()
+    for window in (1, 2, 5):
+        mine = {(r["row"], r["col"]): r["w"] for r in got if r["window"] == window}
+        want = brute(sentences, ids, window, distance)
+        assert mine.keys() == want.keys() and all(math.isclose(mine[k], want[k]) for k in want)
+
+
+def test_matrices_in_chunks_equal_matrices_in_place(spark):
+    toks = corpus(spark, [*SENTENCES, " ".join(SENTENCES * 5)])
+    _, placed, n = C.build_matrices(toks, F.col("toks"), (1, 4), 2)
+    _, chunked, m = C.build_matrices(toks, F.col("toks"), (1, 4), 2, chunk=16)
+    assert n == m and sorted(map(tuple, placed.collect())) == sorted(map(tuple, chunked.collect()))
+
+
+def test_one_endless_line_is_spread_over_all_tasks(spark):
+    endless = spark.range(1).select(F.col("id").alias("doc_id"), F.lit(0).alias("line"), F.expr("transform(sequence(1, 1000000), x -> concat('w', (x % 8191) * (x % 8191) % 97))").alias("toks"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # a million short words are little for a task
+    try:
+        rows = C.in_chunks(endless).groupBy(F.spark_partition_id().alias("p")).agg(F.sum(F.size("toks")).alias("n")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(rows) >= 6 and sum(r["n"] for r in rows) == 1_000_000 and max(r["n"] for r in rows) < 400_000
+    _, cooc, n = C.build_matrices(endless, F.col("toks"), (2,), 1)
+    assert cooc.agg(F.sum("w")).first()[0] == 2 * (999_999 + 999_998)
+
+
+def test_empty_corpus_is_an_error_and_does_not_hang(spark):
+    empty = spark.createDataFrame([], "doc_id long, line int, toks array<string>")
+    for df in (empty, corpus(spark, ["a b"]).filter("doc_id > 5"), corpus(spark, ["a b"]).filter("false")):
+        with pytest.raises(ValueError):
+            C.build_matrices(df, F.col("toks"), (2,), 1)
