@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions.vectors import l2_normalize
 from lexiloom.operators.common import (
-    PACKED, add_blocks, blocks, lookup, meet, ordinal, outer_sum, table_bytes, vector_shape,
+    PACKED, add_blocks, blocks, lookup, lowest, meet, ordinal, outer_sum, table_bytes, vector_shape,
 )
 from lexiloom.operators.similarity import topk_neighbours, vector_bytes, with_vectors
 from lexiloom.session import cut
@@ -38,17 +38,21 @@ def required_words(pairs: DataFrame, gold: DataFrame) -> DataFrame:
 def filter_vocab(vectors: DataFrame, required: DataFrame, max_words: int) -> DataFrame:
     """Required words first, then file order, ``max_words`` in all; vectors are (word, vec, pos).
 
-    A repeated required word takes its last vector, any other word its first.
+    A repeated required word takes its last vector, any other word its first. Only words and places are put in order; the vectors
+    of the words that stay are looked up afterwards.
     """
-    marked = lookup(vectors, required.withColumn("required", F.lit(True)), ["word"], "left",
-                    small_bytes=table_bytes(required, "word"))
-    one = marked.groupBy("word").agg(
-        F.first(F.coalesce("required", F.lit(False))).alias("required"),
-        F.min("pos").alias("pos"), F.max_by("vec", "pos").alias("_last"), F.min_by("vec", "pos").alias("_first"),
-    )
-    placed = ordinal(one, [F.when(F.col("required"), 0).otherwise(1), F.col("pos"), F.col("word")], "place")
-    vec = F.when(F.col("required"), F.col("_last")).otherwise(F.col("_first"))
-    return placed.filter(F.col("place") < max_words).select("word", vec.alias("vec"), "place")
+    vectors = vectors.select("word", "vec", "pos")
+    marked = lookup(vectors.select("word", "pos"), required.select("word").distinct().withColumn("required", F.lit(True)), ["word"],
+                    "left", small_bytes=table_bytes(required, "word"))
+    needed = F.coalesce(F.bool_or("required"), F.lit(False))
+    one = marked.groupBy("word").agg(needed.alias("_needed"), F.min("pos").alias("_pos"), F.max("pos").alias("_last"))
+    order = [F.when(F.col("_needed"), 0).otherwise(1), F.col("_pos"), F.col("word")]
+    kept = cut(ordinal(one, order, "place").filter(F.col("place") < max_words).select(
+        "word", "place", F.when(F.col("_needed"), F.col("_last")).otherwise(F.col("_pos")).alias("_at")
+    ))
+    size = table_bytes(kept.select(F.col("word").cast("string").alias("word")), "word", overhead=256)
+    found = lookup(vectors, kept, ["word"], small_bytes=size).filter(F.col("pos") == F.col("_at"))
+    return found.dropDuplicates(["word"]).select("word", "vec", "place")
 
 
 def procrustes(train: DataFrame) -> np.ndarray:
@@ -107,7 +111,8 @@ def align_cca(pairs: DataFrame, src: DataFrame, tgt: DataFrame, n_components: in
 def pair_sample(pairs: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """``n`` pairs without replacement, the same ones on every run: lowest digests of seed and words."""
     digest = F.md5(F.concat_ws("\t", F.lit(str(seed)), F.col("src").cast("string"), F.col("tgt").cast("string")))
-    return pairs.withColumn("_h", digest).orderBy("_h", "src", "tgt").limit(n).drop("_h")
+    key = F.conv(F.substring("_h", 1, 15), 16, 10).cast("long")
+    return lowest(pairs.withColumn("_h", digest), n, key, [F.col("_h"), F.col("src"), F.col("tgt")]).drop("_h")
 
 
 def _log_sums(met: DataFrame, state: DataFrame, side: str, other: str, reg: float, n_blocks: int) -> DataFrame:

@@ -281,6 +281,7 @@ ORACLES = {
         "t AS (SELECT doc_id, line, string_split(sentence, ' ') AS p FROM ln)",
     ) + """SELECT doc_id, CAST(line AS INTEGER) AS line, p[1] AS src, p[2] AS tgt FROM t
 WHERE len(p) >= 2 AND p[1] IN (SELECT word FROM talk) AND p[2] IN (SELECT word FROM talk)""",
+    "malformed_count": _with(LN) + "SELECT count(*) AS malformed FROM ln WHERE NOT contains(sentence, ' ') AND NOT contains(sentence, chr(9))",
     "gold_similarity_scan": """SELECT c_custkey AS pos, c_name AS src, c_mktsegment AS tgt, c_acctbal AS score FROM customer
 WHERE c_acctbal >= 0 AND c_custkey IN (SELECT o_custkey FROM orders)""",
     "gold_similarity_renamed": "SELECT s_suppkey AS s_no, s_name AS word1, CAST(s_nationkey AS VARCHAR) AS word2, s_acctbal AS similarity FROM supplier",

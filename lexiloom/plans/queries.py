@@ -113,6 +113,13 @@ def dict_scan_tab_filtered(spark: SparkSession, sf: str) -> DataFrame:
     return readers.parse_dict_tab(rows, talk, talk).select("pos.doc_id", "pos.line", "src", "tgt")
 
 
+@query
+def malformed_count(spark: SparkSession, sf: str) -> DataFrame:
+    """How many lines, as a tab dictionary of all their words, have no second field."""
+    rows = _word_lines(spark, sf).select("pos", F.translate("value", " ", "\t").alias("value"))
+    return readers.malformed_count(rows, 2)
+
+
 @query
 def gold_similarity_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Customer lines as a gold file; negative balances are written unreadable, customers without orders unknown."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.operators.common import lookup, ordinal, table_bytes
@@ -74,16 +74,27 @@ def repair_vectors(lines: DataFrame, dim: int) -> DataFrame:
     return out.filter((F.size("vec") == dim) & ~F.exists("vec", lambda x: x.isNull()))
 
 
-def parse_dict_ws(lines: DataFrame) -> DataFrame:
-    """(pos, src, tgt): first two whitespace fields; shorter lines are skipped."""
-    parts = lines.select("pos", _words(F.col("value")).alias("p")).filter(F.size("p") >= 2)
+def _readable(rows: DataFrame, good: Column, watch: Observation | None) -> DataFrame:
+    """Rows that are ``good``; ``watch`` receives in the same pass how many ``lines`` there are and how many are ``skipped``."""
+    if watch is not None:
+        skipped = F.count_if(~F.coalesce(good, F.lit(False))).alias("skipped")
+        rows = rows.observe(watch, F.count(F.lit(1)).alias("lines"), skipped)
+    return rows.filter(good)
+
+
+def parse_dict_ws(lines: DataFrame, watch: Observation | None = None) -> DataFrame:
+    """(pos, src, tgt): first two whitespace fields; shorter lines are skipped, and counted by ``watch``."""
+    parts = _readable(lines.select("pos", _words(F.col("value")).alias("p")), F.size("p") >= 2, watch)
     return parts.select("pos", F.col("p")[0].alias("src"), F.col("p")[1].alias("tgt"))
 
 
-def _tabbed(lines: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Split trimmed lines on tabs into ``names``; lines with fewer fields are skipped."""
+def _tabbed(lines: DataFrame, names: Sequence[str], watch: Observation | None = None, number: str | None = None) -> DataFrame:
+    """Split trimmed lines on tabs into ``names``; lines with fewer fields, or an unreadable ``number``, are skipped."""
     trimmed = F.regexp_replace("value", r"^\s+|\s+$", "")
-    parts = lines.select("pos", F.split(trimmed, "\t").alias("p")).filter(F.size("p") >= len(names))
+    good = F.size("p") >= len(names)
+    if number is not None:
+        good = good & F.get("p", F.lit(names.index(number))).try_cast("double").isNotNull()
+    parts = _readable(lines.select("pos", F.split(trimmed, "\t").alias("p")), good, watch)
     return parts.select("pos", *[F.col("p")[i].alias(n) for i, n in enumerate(names)])
 
 
@@ -93,9 +104,9 @@ def known(rows: DataFrame, column: str, words: DataFrame) -> DataFrame:
     return lookup(rows, named, [column], "left_semi", small_bytes=table_bytes(words, "word"))
 
 
-def parse_dict_tab(lines: DataFrame, src_words: DataFrame, tgt_words: DataFrame) -> DataFrame:
-    """(pos, src, tgt) with both words known; malformed lines are skipped."""
-    return known(known(_tabbed(lines, ["src", "tgt"]), "src", src_words), "tgt", tgt_words)
+def parse_dict_tab(lines: DataFrame, src_words: DataFrame, tgt_words: DataFrame, watch: Observation | None = None) -> DataFrame:
+    """(pos, src, tgt) with both words known; malformed lines are skipped, and counted by ``watch``."""
+    return known(known(_tabbed(lines, ["src", "tgt"], watch), "src", src_words), "tgt", tgt_words)
 
 
 def malformed_count(lines: DataFrame, fields: int) -> DataFrame:
@@ -104,21 +115,21 @@ def malformed_count(lines: DataFrame, fields: int) -> DataFrame:
     return lines.agg(F.count_if(short).alias("malformed"))
 
 
-def parse_gold(lines: DataFrame, src_words: DataFrame, tgt_words: DataFrame) -> DataFrame:
-    """(pos, src, tgt, score); lines without a readable score, such as a header, are skipped."""
-    rows = _tabbed(lines, ["src", "tgt", "score"]).withColumn("score", F.col("score").try_cast("double"))
-    return known(known(rows.filter("score is not null"), "src", src_words), "tgt", tgt_words)
+def parse_gold(lines: DataFrame, src_words: DataFrame, tgt_words: DataFrame, watch: Observation | None = None) -> DataFrame:
+    """(pos, src, tgt, score); lines without a readable score, such as a header, are skipped, and counted by ``watch``."""
+    rows = _tabbed(lines, ["src", "tgt", "score"], watch, "score").withColumn("score", F.col("score").try_cast("double"))
+    return known(known(rows, "src", src_words), "tgt", tgt_words)
 
 
-def parse_concepts(lines: DataFrame, src_words: DataFrame, tgt_words: DataFrame) -> DataFrame:
-    """(pos, category, src, tgt) with both words known."""
-    rows = _tabbed(lines, ["category", "src", "tgt"])
+def parse_concepts(lines: DataFrame, src_words: DataFrame, tgt_words: DataFrame, watch: Observation | None = None) -> DataFrame:
+    """(pos, category, src, tgt) with both words known; ``watch`` counts malformed lines."""
+    rows = _tabbed(lines, ["category", "src", "tgt"], watch)
     return known(known(rows, "src", src_words), "tgt", tgt_words)
 
 
-def parse_analogies(lines: DataFrame) -> DataFrame:
-    """(pos, a, b, c, d) from lines of exactly four words."""
-    parts = lines.select("pos", _words(F.col("value")).alias("p")).filter(F.size("p") == 4)
+def parse_analogies(lines: DataFrame, watch: Observation | None = None) -> DataFrame:
+    """(pos, a, b, c, d) from lines of exactly four words; ``watch`` counts the others."""
+    parts = _readable(lines.select("pos", _words(F.col("value")).alias("p")), F.size("p") == 4, watch)
     return parts.select("pos", *[F.col("p")[i].alias(n) for i, n in enumerate("abcd")])
 
 
@@ -158,11 +169,19 @@ def vocab_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.filter("word <> ''")
 
 
-def vocab_json(spark: SparkSession, path: str) -> DataFrame:
-    """(word, idx) of a JSON object written one entry per line."""
-    entry = F.concat(F.lit("{"), F.regexp_replace("value", r"^\s*\{?|[,\s]*\}?\s*$", ""), F.lit("}"))
-    entries = F.from_json(entry, "map<string,int>")
-    return spark.read.text(path).select(F.explode(entries).alias("word", "idx"))
+def vocab_json(spark: SparkSession, path: str, max_bad: int = 0) -> DataFrame:
+    """(word, idx) of a JSON object written one entry per line; blank lines and lone braces are no entries.
+
+    More than ``max_bad`` lines that cannot be read are an error; up to so many are skipped.
+    """
+    inner = F.regexp_replace("value", r"^\s*\{?|[,\s]*\}?\s*$", "")
+    lines = spark.read.text(path).select(inner.alias("inner")).filter(~F.col("inner").rlike(r"^[\s{},]*$"))
+    entries = lines.select("inner", F.from_json(F.concat(F.lit("{"), "inner", F.lit("}")), "map<string,int>").alias("m"))
+    unread = F.coalesce(F.size("m") < 1, F.lit(True)) | F.coalesce(F.exists(F.map_values("m"), lambda x: x.isNull()), F.lit(False))
+    bad = entries.agg(F.count_if(unread)).first()[0]
+    if bad > max_bad:
+        raise ValueError(f"{bad} unreadable lines in {path}")
+    return entries.filter(~unread).select(F.explode("m").alias("word", "idx"))
 
 
 def metrics_scan(spark: SparkSession, path: str, schema: str | None = None, multi_line: bool = True) -> DataFrame:

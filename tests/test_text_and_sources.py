@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from lexiloom.functions import text as T
@@ -82,6 +83,29 @@ def test_dictionaries_and_gold(spark):
     assert len(readers.parse_analogies(lines(spark, ["a b c d", "a b c", " a  b c e "])).collect()) == 2
 
 
+def test_skipped_lines_are_counted_in_the_same_pass(spark):
+    words = spark.createDataFrame([("a",), ("b",)], "word string")
+    cases = (
+        (lambda x, w: readers.parse_dict_ws(x, w), ["a b", "", "a", None, "b a c"], 2),
+        (lambda x, w: readers.parse_dict_tab(x, words, words, w), ["a\tb", "a b", "a\tz"], 2),
+        (lambda x, w: readers.parse_gold(x, words, words, w), ["a\tb\t1", "a\tb\tx", "a\tb", "z\tb\t2"], 2),
+        (lambda x, w: readers.parse_concepts(x, words, words, w), ["c\ta\tb", "c\ta"], 1),
+        (lambda x, w: readers.parse_analogies(x, w), ["a b a b", "a b a", "a b a b a"], 1),
+    )
+    for parse, values, good in cases:
+        watch = Observation()
+        parse(lines(spark, values), watch).collect()
+        assert watch.get == {"lines": len(values), "skipped": len(values) - good}
+
+
+def test_unreadable_vocabulary_lines_are_an_error(spark, tmp_path):
+    path = tmp_path / "v.json"
+    path.write_text('{\n  "a": 0,\n  "b" 1,\n  "c": x,\n\n  "d": 3\n}\n', encoding="utf-8")
+    with pytest.raises(ValueError, match="2 unreadable lines"):
+        readers.vocab_json(spark, str(path), max_bad=1)
+    assert {tuple(r) for r in readers.vocab_json(spark, str(path), max_bad=2).collect()} == {("a", 0), ("d", 3)}
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "corpus.txt").write_text("first, with a comma\n\nsecond\n", encoding="utf-8")
     got = readers.corpus_scan(spark, str(tmp_path / "corpus.txt")).orderBy("pos")

@@ -1,4 +1,6 @@
+import hashlib
 import math
+import random
 import re
 
 import numpy as np
@@ -234,6 +236,32 @@ def test_pair_sample_is_repeatable(spark):
     assert A.pair_sample(pairs, 500).count() == 50
 
 
+def test_lowest_rows_equal_a_sort(spark):
+    """Half of a table, with a pair that is a third of all rows, and cuts before, inside and behind its copies."""
+    pairs = [(i, i + 1) for i in range(400)] + [(7, 7)] * 200
+    df = spark.createDataFrame(pairs, "src long, tgt long").repartition(5)
+    place = sorted(pairs, key=lambda p: (hashlib.md5(f"42\t{p[0]}\t{p[1]}".encode()).hexdigest(), p))
+    hot = place.index((7, 7))
+    for n in (0, 1, hot, hot + 90, hot + 200, 300, 599, 600, 900):
+        assert sorted(map(tuple, A.pair_sample(df, n).collect())) == sorted(place[:n])
+    plan = A.pair_sample(df, 300)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "GlobalLimit" not in plan
+
+
+def test_vocabulary_cut_orders_no_vectors(spark):
+    rng = random.Random(3)
+    rows = [(f"w{rng.randrange(300)}", [float(i)], i) for i in range(900)]
+    v = spark.createDataFrame(rows, "word string, vec array<double>, pos long").repartition(4)
+    names = {w for w, _, _ in rows}
+    need = sorted(names)[::5]
+    last, first = {w: (p, x) for w, x, p in rows}, {w: (p, x) for w, x, p in reversed(rows)}
+    order = sorted(need, key=lambda w: first[w][0]) + sorted(names - set(need), key=lambda w: first[w][0])
+    req = spark.createDataFrame([(w,) for w in [*need, *need[:3], "none"]], "word string")
+    for n in (10, 150, 1000):
+        got = {r["place"]: (r["word"], r["vec"]) for r in A.filter_vocab(v, req, n).collect()}
+        assert got == {i: (w, (last if w in set(need) else first)[w][1]) for i, w in enumerate(order[:n])}
+
+
 def test_weat(spark):
     rng = np.random.default_rng(11)
     m = rng.standard_normal((8, 4))
