@@ -14,7 +14,7 @@ from lexiloom.operators.common import (
     PACKED, add_blocks, blocks, lookup, lowest, meet, ordinal, outer_sum, table_bytes, vector_shape,
 )
 from lexiloom.operators.similarity import topk_neighbours, vector_bytes, with_vectors
-from lexiloom.session import cut
+from lexiloom.session import cut, discard
 
 
 def training_pairs(pairs: DataFrame, src: DataFrame, tgt: DataFrame) -> DataFrame:
@@ -186,8 +186,11 @@ class TransportPlan:
             steps = min(check_every, max_iter - self.rounds)
             f = self.f
             for _ in range(steps - 1):
-                f = cut(self._potential(self._potential(f, "rblk"), "lblk"))
+                before, f = f, cut(self._potential(self._potential(f, "rblk"), "lblk"))
+                discard(before)
+            discard(self.g)
             self.g = cut(self._potential(f, "rblk"))
+            discard(f)
             self.f, self.rounds = cut(self._potential(self.g, "lblk")), self.rounds + steps
             if tol > 0:
                 self.error = self._column_error()

@@ -145,3 +145,8 @@ def test_empty_corpus_is_an_error_and_does_not_hang(spark):
     for df in (empty, corpus(spark, ["a b"]).filter("doc_id > 5"), corpus(spark, ["a b"]).filter("false")):
         with pytest.raises(ValueError):
             C.build_matrices(df, F.col("toks"), (2,), 1)
+
+
+def test_margins_are_broadcast_by_the_windows_that_are_there(spark):
+    cells = spark.range(40).select((F.col("id") % 20).cast("int").alias("window"), F.lit(0).alias("row"), F.col("id").cast("int").alias("col"), F.lit(1.0).alias("w"))
+    assert W._bytes(cells, None, 10) == 20 * 10 * W.MARGIN_ROW_BYTES and W._bytes(cells, 3, 10) == 3 * 10 * W.MARGIN_ROW_BYTES

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lexiloom import session
 from lexiloom.operators import alignment as A
 from lexiloom.operators import alignment_eval as E
 from lexiloom.operators import bias as B
@@ -304,3 +305,12 @@ def test_unsettled_results_are_errors(spark):
     train = vectors.selectExpr("word AS pid", "vec AS x", "reverse(vec) AS y")
     with pytest.raises(ValueError, match="still off"):
         A.TransportPlan(train, 0.05, 1, 1e-12)
+
+
+def test_transport_leaves_no_earlier_rounds_behind(spark):
+    rng = np.random.default_rng(5)
+    train = spark.createDataFrame([(i, rng.normal(size=4).tolist(), rng.normal(size=4).tolist()) for i in range(40)], "pid long, x array<double>, y array<double>")
+    before = set(session._WRITTEN)
+    plan = A.TransportPlan(train, reg=0.5, tol=1e-9)
+    assert len(set(session._WRITTEN) - before) <= 7 and plan.rounds >= 10  # inputs, packed sides and the last two potentials
+    assert plan.potentials().count() == 40 and plan.barycenters().count() == 40
