@@ -378,8 +378,9 @@ def test_pages_parts_and_odd_tables(spark):
         '<section class="comments"><h2>Comments</h2><p>I liked this a lot, it is long enough to be an article.</p></section></article></main><footer>End</footer>'
     )
     assert htmltext.main_text(page) == "Title\n\nFirst link para & more\n\nNext one"
-    x, y = htmltext.labelled()
-    assert all(htmltext.decide(htmltext.tree(), tuple(r)) == label for r, label in zip(x, y))
+    for table, node in zip((htmltext.TABLE, htmltext.BARE_TABLE), htmltext.trees()):
+        x, y = htmltext.labelled(table)
+        assert all(htmltext.decide(node, tuple(r)) == label for r, label in zip(x, y))
     rows = [(1, None, None, 1), (2, "u", "", 1), (2, "u", "", 1), (None, "u", page, 1), (3, "u", "<p" * 50_000 + "<a \"" * 50_000, 1)]
     got = htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int")).collect()
     assert len(got) == 5 and [r["n_chars"] for r in got if r["page_id"] in (1, 2)] == [0, 0, 0]
@@ -397,3 +398,39 @@ def test_article_in_a_layout_wrapper(wrapper):
     want = "The first paragraph of the article is long enough to count as text."
     assert htmltext.main_text(f"{wrapper}<article>{body}{beside}</article>{teaser}{end}") == want
     assert htmltext.main_text(f"<main>{body}{beside}</main>{teaser}") == want
+
+
+LONG = "The quick brown fox jumps over the lazy dog and then runs on through the wide green field until evening falls again."
+FOOT = '<div class="site-footer"><p>All rights are with the publisher of this site, who may be written to at any time.</p></div>'
+
+
+@pytest.mark.parametrize("page, want", [
+    (f'<div class="site-header"><p>Best news in the whole wide town every day</p></div><div class="post-body"><p>{LONG}</p></div>{FOOT}', [LONG]),
+    (f'<div class="header">Menu</div><div class="content"><p>{LONG}</p><p>{LONG}</p><p>Short end.</p></div><div class="comments"><p>{LONG}</p></div>',
+     [LONG, LONG, "Short end."]),
+    ("<div><h1>Title</h1><p>One two three four.</p><p>Five six seven eight nine.</p><p>Ten eleven twelve.</p></div>",
+     ["Title", "One two three four.", "Five six seven eight nine.", "Ten eleven twelve."]),
+    (f'<div class="entry"><div class="entry-header"><h1>Title</h1></div><p>{LONG}</p><p>{LONG}</p></div>{FOOT}', ["Title", LONG, LONG]),
+    (f"<ul><li><a href=x>Home</a><li><a href=y>About us</a></ul><div><h1>Big title</h1><p>{LONG}</p><ul><li>one thing<li>two things</ul><p>{LONG}</p></div>"
+     "<div>Copyright of this page</div>", ["Big title", LONG, "one thing", "two things", LONG]),
+    (f"<div><p>{LONG}</p><blockquote>To be or not to be</blockquote><p>{LONG}</p></div>{FOOT}", [LONG, "To be or not to be", LONG]),
+    (f"<table><tr><td><a href=x>Home</a><td><a href=y>News</a></table><table><tr><td>{LONG}<tr><td>{LONG}</table><p>Copyright us", [LONG, LONG]),
+    (f"<a href=1>Home</a> | <a href=2>More</a><hr><h2>Title</h2><p>{LONG}<p>{LONG}<p>Short one.<hr><p><a href=1>Prev</a> <a href=2>Next</a>",
+     ["Title", LONG, LONG, "Short one."]),
+    ("<ul><li><a href=x>Home</a><li><a href=y>About us</a></ul><p>Copyright of this page</p>", []),
+])
+def test_pages_that_name_no_main_part(page, want):
+    assert htmltext.main_text(page) == "\n\n".join(want)
+
+
+@pytest.mark.parametrize("body, want", [
+    ('<p>Hello <span class="alert">world of news</p><p>next</p>', ["Hello world of news", "next"]),
+    ('<p>Some text <span class="ad">BUY NOW</span> goes on.</p>', ["Some text goes on."]),
+    ('<p>Some text <span class="ad">BUY <span>IT</span> NOW</span> goes on.</p>', ["Some text goes on."]),
+    ('<p>Some text <span class="promo">BUY NOW</p><p>goes on.</p>', ["Some text", "goes on."]),
+    ('<p>Some text</p><span class="ad"><p>BUY NOW</p></span><p>goes on.</p>', ["Some text", "goes on."]),
+    ('<p>Some text</p><span class="ad"><span>BUY</span> NOW</span><p>goes on.</p>', ["Some text", "goes on."]),
+    ('<pre>x = 1 <span class="ad comment"># kept</span></pre>', ["x = 1 # kept"]),
+])
+def test_inline_side_parts(body, want):
+    assert htmltext.main_text(f"<article>{body}</article>") == "\n\n".join(want)
