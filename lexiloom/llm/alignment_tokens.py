@@ -21,7 +21,7 @@ from lexiloom.session import cut
 
 FREQUENT = 1 << 20  # id pairs whose counts are broadcast, 16 bytes each; the rest are joined
 WIDE = 4_096  # links of a group up to which they are written out one by one before they are counted
-DIGITS = 8  # room for a decimal id and the mark after it
+DIGITS = 7  # room for a decimal id and the mark after it
 PROBE = 4  # tokens that are compared first in a run
 SHIFT = 32  # an id pair is one number: A's id above these bits, B's below
 
@@ -72,50 +72,56 @@ def side_b(path: str) -> Side:
 
 def common_ends(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
     """Numbers of tokens of each side up to each common end, given the sides' token ends (ascending, the last ones equal)."""
+    cuts_a, cuts_b = group_cuts(a, b)
+    return cuts_a.tolist(), cuts_b.tolist()
+
+
+def group_cuts(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """``common_ends`` as arrays."""
     i = j = 0
     n = len(a)
-    out_a: list[int] = []
-    out_b: list[int] = []
+    starts: list[int] = []
+    stops: list[int] = []
+    shifts: list[int] = []
     while i < n:
-        if a[i] == b[j]:
-            start, k = i, PROBE
-            shift = j - i
-            while i < n:  # probe ahead in doubled steps, then close in on the end of the run
-                if a[i : i + k] == b[i + shift : i + shift + k]:
-                    i = min(i + k, n)
-                    k *= 2
-                else:
-                    break
-            k //= 2
-            while k:
-                if i + k <= n and a[i : i + k] == b[i + shift : i + shift + k]:
-                    i += k
-                k //= 2
-            j = i + shift
-            out_a.extend(range(start + 1, i + 1))
-            out_b.extend(range(start + shift + 1, j + 1))
-        else:
-            x, y = a[i], b[j]
-            while x != y:
-                if x < y:
-                    i += 1
-                    x = a[i]
-                else:
-                    j += 1
-                    y = b[j]
+        x, y = a[i], b[j]
+        while x != y:  # an irregular group, up to the next common end; it sets the shift
+            if x < y:
+                i += 1
+                x = a[i]
+            else:
+                j += 1
+                y = b[j]
+        shift = j - i
+        starts.append(i)
+        shifts.append(shift)
+        k = i + PROBE
+        while i < n and a[i] == b[j]:  # most runs are short; a longer one is probed ahead in doubled steps
             i += 1
             j += 1
-            out_a.append(i)
-            out_b.append(j)
-    return out_a, out_b
+            if i == k:
+                k = PROBE
+                while i < n and a[i : i + k] == b[i + shift : i + shift + k]:
+                    i = min(i + k, n)
+                    k *= 2
+                while k > 1:  # close in on the end of the run
+                    k //= 2
+                    if i + k <= n and a[i : i + k] == b[i + shift : i + shift + k]:
+                        i += k
+                j = i + shift
+                break
+        stops.append(i)
+    first, size = np.array(starts, np.int64), np.array(stops, np.int64) - starts
+    ends = np.arange(1, int(size.sum()) + 1) + np.repeat(first - np.cumsum(size) + size, size)
+    return ends, ends + np.repeat(np.array(shifts, np.int64), size)
 
 
 class Aligned:
     """Ids of both sides and, for each group, how many ids of each side there are up to its end."""
 
-    def __init__(self, a: np.ndarray, b: np.ndarray, cuts_a: list[int], cuts_b: list[int]):
+    def __init__(self, a: np.ndarray, b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray):
         self.a, self.b = a.astype(np.int64), b.astype(np.int64)
-        self.cuts_a, self.cuts_b = np.array(cuts_a, np.int64), np.array(cuts_b, np.int64)
+        self.cuts_a, self.cuts_b = np.asarray(cuts_a, np.int64), np.asarray(cuts_b, np.int64)
         self.p, self.q = np.diff(self.cuts_a, prepend=0), np.diff(self.cuts_b, prepend=0)
 
     def groups(self, side_a: Side, side_b: Side) -> bytes:
@@ -162,7 +168,7 @@ class Aligned:
         return found, sums
 
 
-NOTHING = Aligned(np.zeros(0, np.int64), np.zeros(0, np.int64), [], [])
+NOTHING = Aligned(*[np.zeros(0, np.int64)] * 4)
 
 
 def align_texts(texts: list[str | None], path_a: str, path_b: str) -> Iterator[Aligned]:
@@ -179,7 +185,7 @@ def align_texts(texts: list[str | None], path_a: str, path_b: str) -> Iterator[A
         if ends_a[-1] != len(whole) or right.joined(pieces) != whole:
             yield NOTHING
             continue
-        yield Aligned(a, b, *common_ends(ends_a.tolist(), np.cumsum(right.lengths[b]).tolist()))
+        yield Aligned(a, b, *group_cuts(ends_a.tolist(), np.cumsum(right.lengths[b]).tolist()))
 
 
 def _sent(docs: DataFrame) -> DataFrame:
