@@ -111,7 +111,8 @@ def group_cuts(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
                 j = i + shift
                 break
         stops.append(i)
-    first, size = np.array(starts, np.int64), np.array(stops, np.int64) - starts
+    first = np.array(starts, np.int64)
+    size = np.array(stops, np.int64) - first
     ends = np.arange(1, int(size.sum()) + 1) + np.repeat(first - np.cumsum(size) + size, size)
     return ends, ends + np.repeat(np.array(shifts, np.int64), size)
 
