@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions.vectors import dot
 from lexiloom.operators.alignment import pair_sample
-from lexiloom.operators.common import blocks, lookup, meet, table_bytes, vector_shape
+from lexiloom.operators.common import blocks, lookup, meet, table_bytes, tiles, vector_shape
 from lexiloom.operators.similarity import (
     Shape, correlation, cosine_cells, topk_neighbours, unit_table, vector_bytes, with_vectors,
 )
@@ -38,8 +38,8 @@ def translation_ranks(pairs: DataFrame, src: DataFrame, tgt: DataFrame) -> DataF
     def closer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for s, t, n, c, x, y, m in zip(*(batch[k] for k in ("src", "tgt", "n", "cos", "x", "ovec", "m"))):
-                sims = np.reshape(x, (len(s), -1)) @ np.reshape(y, (m, -1)).T
-                above = (sims > np.asarray(c)[:, None] + TIE).sum(axis=1)
+                x, y, bar = np.reshape(x, (len(s), -1)), np.reshape(y, (m, -1)), np.asarray(c)[:, None] + TIE
+                above = np.concatenate([np.count_nonzero(x[rows] @ y.T > bar[rows], axis=1) for rows in tiles(len(s))])
                 yield pd.DataFrame({"src": s, "tgt": t, "n": n, "cos": c, "above": above})
 
     ts, tt = (gold.schema[c].dataType.simpleString() for c in ("src", "tgt"))
