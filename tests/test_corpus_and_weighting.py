@@ -152,3 +152,11 @@ def test_empty_corpus_is_an_error_and_does_not_hang(spark):
 def test_margins_are_broadcast_by_the_windows_that_are_there(spark):
     cells = spark.range(40).select((F.col("id") % 20).cast("int").alias("window"), F.lit(0).alias("row"), F.col("id").cast("int").alias("col"), F.lit(1.0).alias("w"))
     assert W._bytes(cells, None, 10) == 20 * 10 * W.MARGIN_ROW_BYTES and W._bytes(cells, 3, 10) == 3 * 10 * W.MARGIN_ROW_BYTES
+
+
+def test_tasks_that_window_grow_with_the_corpus(spark):
+    """As many tasks as keep each at some two million tokens; adaptive execution does not merge them."""
+    lines = spark.range(500).select(F.col("id").alias("doc_id"), F.lit(0).alias("line"))
+    placed = C.by_sentence(lines, tokens=100 * C.TASK_TOKENS)
+    assert placed.rdd.getNumPartitions() == 100
+    assert placed.groupBy(F.spark_partition_id().alias("p")).count().count() > 90
