@@ -317,6 +317,36 @@ def test_transport_leaves_no_earlier_rounds_behind(spark):
     assert plan.potentials().count() == 40 and plan.barycenters().count() == 40
 
 
+def near_copies(turn=0.0):
+    """120 points in 30 groups of near copies, and the same points moved by ``turn``."""
+    rng = np.random.default_rng(3)
+    x = np.repeat(rng.standard_normal((30, 16)), 4, axis=0) + 0.15 * rng.standard_normal((120, 16))
+    return x, x + turn * rng.standard_normal(x.shape)
+
+
+def paired(spark, x, y):
+    return spark.createDataFrame([(i, x[i].tolist(), y[i].tolist()) for i in range(len(x))], "pid long, x array<double>, y array<double>")
+
+
+def test_transport_of_a_space_onto_itself_settles_where_rounds_hardly_move(spark):
+    """Scaling alone takes the error from 2.49e-6 to 2.45e-6 in rounds 5 to 29."""
+    plan = A.TransportPlan(paired(spark, *near_copies()), 0.05, 12, 1e-9)
+    p = matrix(plan.potentials().selectExpr("pid", "array(f, g) AS v"), "pid", "v")
+    assert plan.error < 1e-9 and np.ptp(p[:, 0] - p[:, 1]) < 1e-5
+
+
+def test_transport_keeps_its_rounds_where_even_potentials_are_no_better(spark):
+    x, y = near_copies(0.3)
+    plan = A.TransportPlan(paired(spark, x, y), 0.15, 20, 1e-4)
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    k = np.exp(unit(x) @ unit(y).T / 0.15)
+    u = np.full(120, 1 / 120)
+    for _ in range(plan.rounds):
+        v = 1 / 120 / (k.T @ u)
+        u = 1 / 120 / (k @ v)
+    assert plan.rounds > 10 and np.allclose(matrix(plan.barycenters(), "pid", "ybar"), 120 * (u[:, None] * k * v) @ y)
+
+
 def test_block_products_hold_a_few_rows_at_a_time():
     """Two full blocks: a worker's products stay far below the 134 MB of a whole product, ties go to the lower place."""
     rng = np.random.default_rng(8)
