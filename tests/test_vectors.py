@@ -361,6 +361,32 @@ def test_block_products_hold_a_few_rows_at_a_time():
     assert [set(got["tgt"][got["src"] == i]) for i in range(64)] == [set(row) for row in want]
 
 
+def test_neighbours_are_told_apart_below_single_precision():
+    """Copies that differ by 1e-8, and equal ones: the screen in single precision decides nothing."""
+    rng = np.random.default_rng(4)
+    y = np.repeat(rng.standard_normal((200, 16)), 5, axis=0) + 1e-8 * rng.standard_normal((1000, 16))
+    y[500:] = y[500]
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    for k in (1, 4):
+        got = S.nearest_in_block(np.arange(300), y[:300].ravel(), np.arange(1000), y.ravel(), k)
+        want = np.argsort(-np.round(y[:300] @ y.T, S.COS_DIGITS), axis=1, kind="stable")[:, :k]
+        assert [set(got["tgt"][got["src"] == i]) for i in range(300)] == [set(row) for row in want]
+
+
+def test_neighbours_that_are_fewer_than_asked_for_beside_not_a_number():
+    y = np.array([[1.0, 0.0], [np.nan, 0.0], [0.0, 1.0]])
+    got = S.nearest_in_block([7, 8], np.array([[1.0, 0.0], [np.nan, 1.0]]).ravel(), [0, 1, 2], y.ravel(), 3)
+    assert sorted(zip(got["src"], got["tgt"], got["cos"])) == [(7, 0, 1.0), (7, 2, 0.0)]
+
+
+def test_self_learning_packs_its_sides_once(spark, points, monkeypatch):
+    packed, plain = [], S.blocks
+    monkeypatch.setattr(S, "blocks", lambda *a, **k: packed.append(1) or plain(*a, **k))
+    pairs = spark.createDataFrame([(i, i) for i in range(30)], "src long, tgt long")
+    A.self_learning(pairs, table(spark, points), table(spark, points), rounds=3, k=1, dictionary_targets=False)
+    assert len(packed) == 2
+
+
 def test_tables_of_fifty_megabytes_do_not_pass_through_the_driver(spark):
     left = spark.range(4).select(F.col("id").cast("int").alias("lblk"), F.lit(1.0).alias("x"))
     right = spark.range(6).select(F.col("id").cast("int").alias("rblk"), F.lit(2.0).alias("y"))
