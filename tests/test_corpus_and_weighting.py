@@ -2,12 +2,15 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from lexiloom.operators import corpus as C
+from lexiloom.operators import pair_counts as P
 from lexiloom.operators import weighting as W
 from lexiloom.operators.common import lookup, ordinal
+from lexiloom.plans.queries import w6
 from lexiloom.session import cut
 
 
@@ -169,3 +172,64 @@ def test_the_table_is_written_as_one_row_per_unordered_pair(spark):
     written = spark.read.parquet(*cooc.inputFiles())
     assert written.count() == len({frozenset((r["row"], r["col"])) for r in rows}) < len(rows) / 5
     assert {r["window"] for r in rows} == {2, 4, 6, 8, 10}
+
+
+def test_pairs_are_counted_without_a_shuffle_of_sentences(spark):
+    """From lists of words blocks of sums are dealt once, by block number; no token is a row."""
+    lists = corpus(spark, SENTENCES).select(P.hashes(F.col("toks"), 0).alias("ids"), F.size("toks").alias("own"))
+    plan = P.sums(P.blocks(lists, 2, 9, 16), (2,), False, 9, 16)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(part") == 1 and plan.count("Exchange") == 1
+    assert "Window" not in plan and "Generate" not in plan and "Aggregate" not in plan
+
+
+@pytest.mark.parametrize("distance", [False, True])
+def test_ways_to_look_words_up_give_the_brute_force_table(spark, monkeypatch, distance):
+    """Hashes, indices with a split vocabulary, chunks beside short sentences, and buffers that are full after each batch."""
+    monkeypatch.setattr(P, "BUFFER_PAIRS", 1)
+    monkeypatch.setattr(P, "PART_PAIRS", 4)
+    sentences = [*SENTENCES, "", "z " * 30, " ".join(SENTENCES * 3)]
+    toks = corpus(spark, sentences).unionByName(spark.createDataFrame([(99, 0, None)], "doc_id long, line int, toks array<string>"))
+    for chunk, limit in ((1000, 1 << 20), (1000, 10), (16, 1 << 20), (16, 10)):
+        vocab, cooc, n = C.build_matrices(toks, F.col("toks"), (1, 2, 4), 2, distance, chunk=chunk, limit=limit)
+        ids = {r["word"]: r["idx"] for r in vocab.collect()}
+        got = cooc.collect()
+        for window in (1, 2, 4):
+            mine = {(r["row"], r["col"]): r["w"] for r in got if r["window"] == window}
+            want = brute(sentences, ids, window, distance)
+            assert n == len(ids) and mine.keys() == want.keys() and all(math.isclose(mine[k], want[k]) for k in want)
+
+
+def test_known_hashes_are_found_and_others_are_not():
+    rng = np.random.default_rng(5)
+    ends = np.iinfo(np.int64)
+    table = np.unique(np.concatenate([rng.integers(ends.min, ends.max, 4000), [ends.min, ends.max, 0, -1]]))
+    bits = P._bits(len(table))
+    first = np.searchsorted(table, np.arange(-(1 << bits - 1), 1 << bits - 1, dtype=np.int64) << (64 - bits)).astype(np.int32)
+    other = np.setdiff1d(rng.integers(ends.min, ends.max, 4000), table)
+    known, idx = np.append(table, ends.max), np.append(np.arange(len(table), dtype=np.int32), -1)
+    assert (P._find(table, known, idx, first, bits) == np.arange(len(table))).all() and (P._find(other, known, idx, first, bits) == -1).all()
+
+
+def test_words_that_share_a_hash_get_another_salt(spark, monkeypatch):
+    monkeypatch.setattr(P, "_hash", lambda word, salt: F.length(word).cast("long") if salt < 2 else F.xxhash64(F.lit(salt), word))
+    assert P.salt_of(spark.createDataFrame([("aa",), ("bb",)], "word string")) == 2
+
+
+def test_a_margin_above_the_limit_shuffles_rare_words_only(spark, monkeypatch):
+    _, cooc, n = C.build_matrices(corpus(spark, SENTENCES), F.col("toks"), (2,), 1)
+    ways = [lambda: W.row_normalize(cooc, n, "l2", n_windows=1), lambda: W.ppmi(cooc, n, n_windows=1), lambda: W.tfidf(cooc, n)]
+    want = [sorted(map(tuple, way().collect())) for way in ways]
+    monkeypatch.setattr(W, "BROADCAST_BYTES", 3 * W.MARGIN_ROW_BYTES)
+    for way, rows in zip(ways, want):
+        got = way()
+        assert sorted(map(tuple, got.collect())) == rows
+        assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_weights_are_rounded_as_spark_rounds_them(spark):
+    rng = random.Random(6)
+    near = [k / 1e6 + 5e-7 + e for k in range(0, 3000, 7) for e in (0, 1e-16, -1e-16, 1e-12, -1e-9, 2e-9)]
+    values = [*near, *(-x for x in near), *(rng.uniform(-3, 3) for _ in range(5000)), *(rng.uniform(0, 3e6) for _ in range(5000)), 0.0, -0.0, -1e-9, 1e18, 1e300, math.inf, -math.inf, math.nan, None]
+    df = spark.createDataFrame([(x,) for x in values], "w double")
+    bits = df.select(F.round("w", 6).cast("string").alias("a"), w6().cast("string").alias("b"))
+    assert bits.filter(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
