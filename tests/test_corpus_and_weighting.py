@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lexiloom.functions import text as T
 from lexiloom.operators import corpus as C
 from lexiloom.operators import pair_counts as P
 from lexiloom.operators import weighting as W
@@ -233,3 +234,25 @@ def test_weights_are_rounded_as_spark_rounds_them(spark):
     df = spark.createDataFrame([(x,) for x in values], "w double")
     bits = df.select(F.round("w", 6).cast("string").alias("a"), w6().cast("string").alias("b"))
     assert bits.filter(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
+
+
+
+def test_tokens_that_cannot_be_numbers_are_kept_without_a_pattern(spark):
+    words = ["12", "a1", "1a", "zz", "z{", "{", "{{", "٣٤", "१२", "café", "été", "_1", "ZZ", "the", "a", "99z", "", None]
+    rows = spark.createDataFrame([(words,)], "toks array<string>")
+    plain = F.filter("toks", lambda t: (F.length(t) >= 2) & ~t.isin("the") & ~t.rlike(r"^\p{Nd}+$"))
+    a, b = rows.select(plain, T.filter_tokens(F.col("toks"), ["the"], 2)).first()
+    assert a == b and "12" not in a and "٣٤" not in a and "z{" in a
+
+
+def test_margins_are_broadcast_in_blocks_below_the_limit_of_rows(spark, monkeypatch):
+    """Eight bytes a word: a margin that is above the limit row by row is not split, its table is read as often as before."""
+    _, cooc, n = C.build_matrices(corpus(spark, SENTENCES), F.col("toks"), (2,), 1)
+    want = [sorted(map(tuple, way(cooc, n, n_windows=1).collect())) for way in (W.row_normalize, W.ppmi, W.tfidf)]
+    for limit, scans in ((n * W.MARGIN_ROW_BYTES - 1, 1), (n * 8 - 1, 2)):
+        monkeypatch.setattr(W, "BROADCAST_BYTES", limit)
+        monkeypatch.setattr(W, "MARGIN_BLOCK", 2)
+        for way, rows in zip((W.row_normalize, W.ppmi, W.tfidf), want):
+            assert sorted(map(tuple, way(cooc, n, n_windows=1).collect())) == rows
+        plan = W.row_normalize(cooc, n, n_windows=1)._jdf.queryExecution().optimizedPlan().toString()
+        assert (plan.count("Join") == 1) == (scans == 1)
