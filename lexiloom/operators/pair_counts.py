@@ -20,7 +20,17 @@ BUFFER_PAIRS = 1 << 22  # pairs that a task holds before it sums them
 PART_PAIRS = 1 << 20  # pairs of a block number, of which a task adds up one after the other: some 50 MB at a time
 TASK_PARTS = 4  # block numbers of a task, about, so that tasks are even
 OUT_ROWS = 1 << 17
-BLOCKS = "part int, keys binary, counts binary"  # ascending keys (lo, hi, gap) as 64-bit integers, 32-bit counts
+BLOCKS = "part int, keys binary, counts binary"  # differences of ascending 64-bit keys (lo, hi, gap) and 32-bit counts, byte by byte
+
+
+def planes(values: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then the second ones and so on: those that are 0 nearly everywhere shrink to nothing in a shuffle."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def from_planes(packed: bytes, kind: type) -> np.ndarray:
+    flat = np.frombuffer(packed, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(flat.T).view(kind).ravel()
 
 
 def salt_of(words: DataFrame) -> int:
@@ -95,8 +105,8 @@ def blocks(lists: DataFrame, reach: int, vocab_size: int, parts: int, known: Bro
         ends = np.append(cuts[1:], len(part))
         yield pa.RecordBatch.from_arrays([
             pa.array(part[cuts].astype(np.int32)),
-            pa.array([flat[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-            pa.array([counts[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+            pa.array([planes(np.diff(flat[a:b], prepend=0)) for a, b in zip(cuts, ends)], pa.binary()),
+            pa.array([planes(counts[a:b]) for a, b in zip(cuts, ends)], pa.binary()),
         ], ["part", "keys", "counts"])
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,9 +149,8 @@ def sums(packed: DataFrame, windows: Sequence[int], distance_weighting: bool, vo
     kind = "double" if distance_weighting else "long"
     names = ["lo", "hi", *[f"w{size}" for size in windows]]
 
-    def added(keys: list[bytes], counts: list[bytes]) -> Iterator[pa.RecordBatch]:
-        flat = np.concatenate([np.frombuffer(k, np.int64) for k in keys])
-        many = np.concatenate([np.frombuffer(c, np.int32) for c in counts])
+    def added(keys: list[np.ndarray], counts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        flat, many = np.concatenate(keys), np.concatenate(counts)
         order = np.argsort(flat, kind="stable")  # of sorted runs
         flat, many = flat[order], many[order].astype(np.int64)
         gap, flat = flat & (1 << low) - 1, flat >> low
@@ -161,8 +170,8 @@ def sums(packed: DataFrame, windows: Sequence[int], distance_weighting: bool, vo
                     yield from added(keys, counts)
                     keys, counts = [], []
                 now = part
-                keys.append(k)
-                counts.append(c)
+                keys.append(np.cumsum(from_planes(k, np.int64)))
+                counts.append(from_planes(c, np.int32))
         if keys:
             yield from added(keys, counts)
 

@@ -1,5 +1,7 @@
 import math
+import os
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -13,6 +15,7 @@ from lexiloom.operators import weighting as W
 from lexiloom.operators.common import lookup, ordinal
 from lexiloom.plans.queries import w6
 from lexiloom.session import cut
+from lexiloom.sources import writers
 
 
 def corpus(spark, sentences):
@@ -256,3 +259,34 @@ def test_margins_are_broadcast_in_blocks_below_the_limit_of_rows(spark, monkeypa
             assert sorted(map(tuple, way(cooc, n, n_windows=1).collect())) == rows
         plan = W.row_normalize(cooc, n, n_windows=1)._jdf.queryExecution().optimizedPlan().toString()
         assert (plan.count("Join") == 1) == (scans == 1)
+
+
+def test_sink_by_window_is_not_sorted(spark, tmp_path):
+    docs = [(d, 0, [f"w{(d * 7 + i * i) % 40}" for i in range(60)]) for d in range(30)]
+    rows = spark.createDataFrame(docs, "doc_id long, line int, toks array<string>")
+    _, cooc, _ = C.build_matrices(rows, F.col("toks"), (2, 4, 6), 1)
+    path = str(tmp_path / "sink")
+    writers.table_sink(cooc, path, ["window"])
+    log = spark._jsparkSession.sharedState().statusStore().executionsList()
+    plans = [log.apply(i).physicalPlanDescription() for i in range(log.size())]
+    assert not re.search(r"\bSort\b", next(p for p in plans if path in p and "InsertIntoHadoopFs" in p))
+    want = sorted(map(tuple, cooc.select("row", "col", "w", "window").collect()))
+    assert sorted(map(tuple, spark.read.parquet(path).select("row", "col", "w", "window").collect())) == want
+
+
+def test_cut_removes_the_shuffle_files_of_its_plan(spark):
+    def files():
+        folders = spark._jsc.sc().env().blockManager().diskBlockManager().localDirs()
+        return {f for d in folders for _, _, names in os.walk(d.getPath()) for f in names if f.startswith("shuffle_") and f.endswith(".data")}
+
+    before = files()
+    back = cut(spark.range(1000).repartition(5).groupBy((F.col("id") % 7).alias("k")).count())
+    assert not files() - before
+    assert back.count() == 7
+
+
+def test_pair_blocks_shrink_to_the_bytes_that_differ():
+    values = np.cumsum(np.random.default_rng(4).integers(1, 1 << 24, 5000))
+    packed = P.planes(np.diff(values, prepend=0))
+    assert np.array_equal(np.cumsum(P.from_planes(packed, np.int64)), values)
+    assert not any(packed[4 * 5000:]) and np.array_equal(P.from_planes(P.planes(np.arange(9, dtype=np.int32)), np.int32), np.arange(9))
