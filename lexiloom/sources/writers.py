@@ -8,11 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.operators.common import vector_shape
+from lexiloom.session import CLEANUP, settings
+
+OPEN_FOLDERS = "8"
 
 
 def table_sink(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists") -> None:
-    """Parquet; partition columns (window, norm, dim) become folders that later filters skip."""
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    """Parquet; partition columns (window, norm, dim) become folders that later filters skip. A task keeps the files of several
+    folders open, so rows are not sorted by folder, which would spill them all once; it sorts only if it meets more folders."""
+    with settings(df.sparkSession, **{"spark.sql.maxConcurrentOutputFileWriters": OPEN_FOLDERS, CLEANUP: "true"}):
+        df.write.mode(mode).option("compression", "zstd").partitionBy(*partition_by).parquet(path)
 
 
 def vector_line(word: Column, vec: Column) -> Column:
