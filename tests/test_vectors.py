@@ -95,6 +95,32 @@ def test_svd_beyond_the_broadcast_limit_keeps_tables_apart(spark):
         assert np.allclose(np.linalg.norm(found, axis=0), np.linalg.svd(a)[1][:4], rtol=1e-3)
 
 
+def test_svd_broadcasts_no_thin_block_and_moves_no_cells(spark):
+    entries = spark.range(4000).select((F.col("id") % 200).cast("int").alias("row"), (F.col("id") * 7919 % 193).cast("int").alias("col"), (F.col("id") % 5 + 1.0).alias("w"))
+    log = spark._jsparkSession.sharedState().statusStore()
+    before = log.executionsList().size()
+    got = R.svd_embed(entries, 200, 5, power=1.0)
+    plans = [log.executionsList().apply(i).physicalPlanDescription() for i in range(before, log.executionsList().size())]
+    assert got.count() == 200 and plans and not any("BroadcastExchange" in p for p in plans)
+    trees = [p.split("\n\n")[0] for p in plans if "SortMergeJoin LeftOuter" in p and "InMemoryTableScan" in p]
+    cells = [t.split("InMemoryTableScan")[0].split("Scan parquet")[-1] for t in trees]  # what stands above the cells on their side of the join
+    assert cells and not any("Exchange" in c or "Sort" in c for c in cells)
+
+
+def test_runs_of_any_length_add_up():
+    rng = np.random.default_rng(8)
+    ids, sizes = rng.permutation(50), rng.integers(1, 3 * R.LONG, 50)
+    other, w, x, out = rng.integers(0, 40, sizes.sum()), rng.random(sizes.sum()), rng.random((40, 3)), np.ones((50, 3))
+    R._add_runs(ids, sizes, other, w, x, out)
+    want = np.ones((50, 3))
+    np.add.at(want, np.repeat(ids, sizes), w[:, None] * x[other])
+    assert np.allclose(out, want)
+
+
+def test_counts_take_few_bytes_and_other_weights_all():
+    assert [R._short(np.array(w)).dtype.itemsize for w in ([1.0, 65535], [1.0, 65536], [0.5, 1], [-1.0, 1], [5e9, 1])] == [2, 4, 8, 8, 8]
+
+
 def test_grid_brings_all_blocks_together_once_with_few_copies(spark, points, monkeypatch):
     monkeypatch.setattr(common, "BLOCK_ROWS", 4)
     left, n_left = common.blocks(table(spark, points), ["word"], [], "vec", 90, "lblk")
